@@ -62,15 +62,21 @@ def decontaminate(
     # Rarity: in how many texts each window word occurs.
     tokens = windows.select("win", F.posexplode("win").alias("off", "tok"))
     vocabulary = tokens.select("tok").distinct()
+    # (The outer generators keep the optimizer from splitting every text twice to drop empty ones.)
     frequency = (
-        keyed.select(F.explode("w").alias("tok")).join(hint(vocabulary), "tok").groupBy("tok").agg(F.count("*").alias("df"))
+        keyed.select(F.explode_outer("w").alias("tok")).join(hint(vocabulary), "tok").groupBy("tok").agg(F.count("*").alias("df"))
     )
     rarest = F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "tok", "off")).alias("r")
     probes = tokens.join(frequency, "tok", "left").groupBy("win").agg(rarest)
     probes = probes.filter("r.df > 0").join(windows, "win").select("win", "items", F.size("win").alias("len"), "r.tok", "r.off")
-    probes = settle(probes, "probes")
-
-    at = keyed.select("doc_id", "k", "w", F.size("w").alias("n"), F.posexplode("w").alias("p", "tok"))
+    # An empty word ends every text and meets one empty window, so each text keeps a row.
+    ends = docs.sparkSession.range(1).select(
+        F.array().cast("array<string>").alias("win"), F.array().cast("array<string>").alias("items"),
+        F.lit(0).alias("len"), F.lit("").alias("tok"), F.lit(0).alias("off"),
+    )
+    probes = settle(probes.unionByName(ends), "probes")
+
+    at = keyed.select("doc_id", "k", "w", F.size("w").alias("n"), F.posexplode_outer(F.array_append("w", F.lit(""))).alias("p", "tok"))
     if not small:  # rows are shuffled: carry the neighbourhood of the word, not the text
         lo = F.greatest(F.col("p") - (width - 1), F.lit(0))
         at = at.select("doc_id", "k", "n", "p", "tok", F.slice("w", lo + 1, 2 * width - 1).alias("w"), lo.alias("lo"))
@@ -80,11 +86,11 @@ def decontaminate(
     matches = (
         at.join(hint(probes), "tok")
         .filter((start >= 0) & (start + F.col("len") <= F.col("n")))
-        .filter(F.slice("w", start - F.col("lo") + 1, F.col("len")) == F.col("win"))
-        .select("doc_id", "k", "items", F.struct(start.alias("s"), (start + F.col("len")).alias("e")).alias("span"))
+        .filter((F.col("len") == 0) | (F.slice("w", start - F.col("lo") + 1, F.col("len")) == F.col("win")))
+        .select("doc_id", "k", "n", "items", F.when(F.col("len") > 0, F.struct(start.alias("s"), (start + F.col("len")).alias("e"))).alias("span"))
     )
     covered = F.aggregate(
-        F.array_sort("spans"),
+        F.sort_array("spans"),
         F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("e")),
         lambda a, s: F.struct(
             (a["n"] + F.greatest(F.lit(0), s["e"] - F.greatest(a["e"], s["s"]))).cast("long").alias("n"),
@@ -92,22 +98,21 @@ def decontaminate(
         ),
         lambda a: a["n"],
     )
-    found = (
-        matches.groupBy("doc_id", "k")
-        .agg(F.collect_set("span").alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("ids"))
-        .select(F.col("doc_id").alias("d"), F.col("k").alias("h"), covered.alias("n_hit"), "ids")
+    per_text = matches.groupBy("doc_id", "k").agg(
+        F.max("n").cast("long").alias("n_words"),
+        F.count_if(F.col("span").isNull()).alias("rows"),
+        F.collect_set("span").alias("spans"),
+        F.sort_array(F.array_distinct(F.flatten(F.collect_set("items")))).alias("ids"),
     )
-    sized = keyed.select("doc_id", "k", F.size("w").cast("long").alias("n_words"))
-    joined = sized.join(found, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("k") == F.col("h")), "left")
-    ids = F.coalesce("ids", F.array().cast("array<string>"))
-    return joined.select(
+    return per_text.select(
         "doc_id",
         "n_words",
-        F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
-        F.size(ids).cast("long").alias("n_items"),
-        F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"),
-        (F.size(ids) >= min_items).alias("contaminated"),
-    )
+        covered.alias("n_hit"),
+        F.size("ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("ids", ","), 256).alias("items_sha256"),
+        (F.size("ids") >= min_items).alias("contaminated"),
+        F.explode(F.array_repeat(F.lit(1), F.col("rows").cast("int"))).alias("copy"),
+    ).drop("copy")
 
 
 ORACLE = r"""

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import BLANKS, settle, split_words
+from eventloom.llm.common import settle, split_words
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
@@ -23,33 +23,35 @@ BROADCAST_HOSTS = 500_000
 def base_counts(docs: DataFrame) -> DataFrame:
     """doc_id, host and the base counts and verdict of every text; null texts have no words."""
     text = F.coalesce("text", F.lit(""))
-    words = docs.select("doc_id", "host", text.alias("t"), split_words(text, BLANKS).alias("w"))
+    spaced = text  # a split at one plain character needs no regular expression
+    for c in "\t\n\x0b\x0c\r":
+        spaced = F.replace(spaced, F.lit(c), F.lit(" "))
+    words = docs.select("doc_id", "host", text.alias("t"), split_words(spaced, " ").alias("w"))
     n = F.size("w")
     # One hash per window of five words; n_repeat_words needs the positions of repeated ones only.
-    grams = F.when(
-        n < WINDOW, F.array().cast("array<bigint>")
-    ).otherwise(
-        F.transform(
-            F.sequence(F.lit(0), n - WINDOW),
-            lambda i: F.xxhash64(*[F.get("w", i + k) for k in range(WINDOW)]),
-        )
+    shifted = F.arrays_zip("w", *[F.slice("w", k + 1, F.greatest(n, F.lit(0))).alias(f"w{k}") for k in range(1, WINDOW)])
+    grams = F.when(n < WINDOW, F.array().cast("array<bigint>")).otherwise(
+        F.transform(F.slice(shifted, 1, n - WINDOW + 1), lambda z: F.xxhash64(z))
     )
+    symbols = F.col("t")
+    for c in SYMBOLS:  # byte searches; far cheaper than one pass by characters
+        symbols = F.replace(symbols, F.lit(c), F.lit(""))
     lines = F.filter(F.split("t", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     counted = words.select(
         "doc_id",
         "host",
         n.cast("long").alias("n_words"),
-        F.length(F.translate("t", "\t\n\x0b\x0c\r ", "")).cast("long").alias("word_chars"),
-        (F.length("t") - F.length(F.translate("t", SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
+        (F.length("t") - F.length(symbols)).cast("long").alias("n_symbols"),
         lines.alias("lines"),
         grams.alias("g"),
     )
     pairs = F.when(
         F.size(F.array_distinct("g")) < F.size("g"),
-        F.array_sort(F.transform("g", lambda h, i: F.struct(h.alias("h"), i.alias("i")))),
+        F.sort_array(F.transform("g", lambda h, i: F.struct(h.alias("h"), i.alias("i")))),
     )
     marked = counted.select("*", pairs.alias("s"))
-    twice = F.array_sort(
+    twice = F.sort_array(
         F.transform(
             F.filter("s", lambda x, j: (F.get("s", j - 1)["h"] == x["h"]) | (F.get("s", j + 1)["h"] == x["h"])),
             lambda x: x["i"],
