@@ -1,9 +1,498 @@
-"""Named queries over the driver's tables and their SQL counterparts."""
+"""Named queries over the driver's tables, each with its SQL counterpart where SQL can say it.
 
+The driver's tables are no news records, so small adapters, the same on both sides, give them the
+shape an operator takes: documents are records whose first line is the title, customers are events
+with their orders as articles, suppliers are symbols with daily prices, conversations are filings
+with turns as paragraphs.
+"""
 
-def queries():
-    return {}
+from __future__ import annotations
 
+from collections.abc import Callable
 
-def oracle_sql():
-    return {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from eventloom.functions import text as T
+from eventloom.functions import urls, vocab
+from eventloom.operators import assembly, cluster, dedup, filings, funnel, market, report, selection
+from eventloom.operators.graph import components
+from eventloom.session import settle
+from eventloom.sources import records, sinks
+
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_SQL: dict[str, str] = {}
+
+
+def _query(sql: str | None = None):
+    def add(f):
+        _QUERIES[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _titled(spark, d) -> DataFrame:
+    """documents as titled rows: id, bucket, day, title, body_len, src."""
+    return _read(spark, d, "documents").select(
+        F.col("doc_id").alias("id"), F.col("source").alias("bucket"), F.date_add(F.lit("2025-12-20").cast("date"), (F.col("doc_id") % 30).cast("int")).alias("day"),
+        F.substring(F.split("text", "\n")[0], 1, 80).alias("title"), F.length("text").alias("body_len"),
+        F.when(F.col("doc_id") % 2 == 0, "FLASH").otherwise("NEWS").alias("src"), F.col("doc_id").alias("ord"), "text",
+    )
+
+
+TITLED = """titled AS (SELECT doc_id AS id, source AS bucket, DATE '2025-12-20' + CAST(doc_id % 30 AS INTEGER) AS day,
+  substr(string_split(text, chr(10))[1], 1, 80) AS title, length(text) AS body_len,
+  CASE WHEN doc_id % 2 = 0 THEN 'FLASH' ELSE 'NEWS' END AS src, text FROM documents)"""
+STOPS = "[" + ", ".join(f"'{w}'" for w in vocab.STOP_WORDS) + "]"
+TOKS = f"list_distinct(list_filter(regexp_extract_all(lower(title), '[a-z0-9]+'), lambda t: length(t) > 1 AND NOT list_contains({STOPS}, t)))"
+
+
+def _members(spark, d) -> DataFrame:
+    """orders as articles of the events that customers are."""
+    return _read(spark, d, "orders").select(
+        F.col("o_custkey").alias("event_id"), F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("source_name"), F.col("o_orderstatus").alias("content_type"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("pub_date"), F.when(F.col("o_orderpriority") == "1-URGENT", "high").otherwise("low").alias("importance"),
+        F.when(F.col("o_orderkey") % 3 == 0, "macro").otherwise("company").alias("track"), F.concat(F.lit("Order "), F.col("o_orderkey") % 50).alias("title"),
+        F.floor("o_totalprice").alias("body_len"),
+    )
+
+
+MEMBERS = """members AS (SELECT o_custkey AS event_id, o_orderkey AS id, o_orderpriority AS source_name, o_orderstatus AS content_type,
+  strftime(o_orderdate, '%Y-%m-%d') AS pub_date, CASE WHEN o_orderpriority = '1-URGENT' THEN 'high' ELSE 'low' END AS importance,
+  CASE WHEN o_orderkey % 3 = 0 THEN 'macro' ELSE 'company' END AS track, 'Order ' || (o_orderkey % 50) AS title,
+  CAST(floor(o_totalprice) AS BIGINT) AS body_len FROM orders)"""
+DAYS = "(SELECT event_id, pub_date, count(*) AS c FROM members GROUP BY 1, 2)"
+STATS = MEMBERS + f""", peaks AS (SELECT event_id, pub_date AS peak_date FROM {DAYS} QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY c DESC, pub_date) = 1),
+reps AS (SELECT event_id, title AS rep_title FROM members QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY body_len DESC, id) = 1),
+stats AS (SELECT event_id, count(*) AS n_articles, count(DISTINCT source_name) AS n_sources, count(DISTINCT content_type) AS n_content_types,
+  min(pub_date) AS first_date, max(pub_date) AS last_date, CAST(count(*) FILTER (importance = 'high') AS BIGINT) AS n_high, max(track) AS track,
+  any_value(peak_date) AS peak_date, any_value(rep_title) AS rep_title
+  FROM members JOIN peaks USING (event_id) JOIN reps USING (event_id) GROUP BY event_id)"""
+SYMS = "syms AS (SELECT DISTINCT o_custkey AS event_id, CAST(l_suppkey AS VARCHAR) AS sym FROM orders JOIN lineitem ON l_orderkey = o_orderkey)"
+REACT = """react AS (SELECT s.event_id, count(DISTINCT l_orderkey) AS n_v2_reactions FROM stats s JOIN syms USING (event_id)
+  JOIN lineitem l ON CAST(l.l_suppkey AS VARCHAR) = syms.sym AND CAST(l_shipdate AS DATE) BETWEEN CAST(peak_date AS DATE) - 1 AND CAST(peak_date AS DATE) + 7
+  WHERE n_articles >= 2 GROUP BY s.event_id)"""
+CLUSTERS = f"{STATS}, {SYMS}, {REACT}, clusters AS (SELECT stats.*, coalesce(n_v2_reactions, 0) AS n_v2_reactions FROM stats LEFT JOIN react USING (event_id))"
+SCORE = "2.0 * ln(1 + n_articles) + 0.5 * n_sources + 0.3 * n_content_types + 1.5 * ln(1 + n_high) + 2.0 * ln(1 + n_v2_reactions) + CASE WHEN track = 'macro' THEN 1.0 ELSE 0.0 END"
+
+
+def _event_symbols(spark, d) -> DataFrame:
+    lines = _read(spark, d, "lineitem").select("l_orderkey", F.col("l_suppkey").cast("string").alias("sym"))
+    orders = _read(spark, d, "orders").select("o_orderkey", F.col("o_custkey").alias("event_id"))
+    return orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey")).select("event_id", "sym").distinct()
+
+
+def _clusters(spark, d) -> DataFrame:
+    stats = cluster.event_stats(_members(spark, d))
+    lines = _read(spark, d, "lineitem").select(F.col("l_suppkey").cast("string").alias("sym"), F.col("l_orderkey").alias("doc_id"), F.col("l_shipdate").cast("date").alias("d"))
+    hits = cluster.corroboration(_event_symbols(spark, d), stats, lines)
+    return stats.join(hits, "event_id", "left").withColumn("n_v2_reactions", F.coalesce("n_v2_reactions", F.lit(0)))
+
+
+def _keyed(spark, d) -> DataFrame:
+    """documents as records keyed by content."""
+    key = T.content_hash(F.lit(""), "text", unicode_space=False)
+    return _read(spark, d, "documents").select(
+        F.col("doc_id").alias("id"), F.coalesce(key, F.concat(F.lit("id:"), "doc_id")).alias("dedup_key"), F.when(key.isNotNull(), "content_hash").otherwise("id").alias("dedup_method"),
+        F.length("text").alias("body_len"), F.lit("2025-01-01T00:00:00Z").alias("published_at"), "source", F.lit("b1").alias("batch"), F.col("doc_id").alias("line_no"),
+    )
+
+
+KEYED = r"""keyed AS (SELECT doc_id AS id, length(text) AS body_len, 'hash:sha256:' || sha256('|' || lower(trim(regexp_replace(text, '[ \t\n\r\f]+', ' ', 'g')))) AS k, source FROM documents),
+ranked AS (SELECT *, row_number() OVER w AS rk, first_value(id) OVER w AS canonical_id FROM keyed WINDOW w AS (PARTITION BY k ORDER BY body_len DESC, id))"""
+
+
+@_query(f"WITH {KEYED} SELECT id, k AS dedup_key, canonical_id FROM ranked WHERE rk = 1")
+def n02_content_winners(spark, d):
+    return dedup.exact(_keyed(spark, d))[0].select("id", "dedup_key", "canonical_id")
+
+
+@_query(f"WITH {KEYED} SELECT id, canonical_id, 'content_hash' AS method FROM ranked WHERE rk > 1")
+def u01_duplicates(spark, d):
+    return dedup.exact(_keyed(spark, d))[1].select("id", "canonical_id", "method")
+
+
+@_query(f"WITH {KEYED} SELECT count(*) AS accepted, count(*) FILTER (rk = 1) AS cleaned, count(*) FILTER (rk > 1) AS duplicates, CAST(0 AS BIGINT) AS rejected, count(*) AS input FROM ranked")
+def a04_summary(spark, d):
+    keyed = _keyed(spark, d)
+    winners, losers = dedup.exact(keyed)
+    return report.summary(keyed, keyed.limit(0), winners, losers)
+
+
+@_query("SELECT source, count(*) AS n FROM documents WHERE source IS NOT NULL GROUP BY source")
+def a03_counts(spark, d):
+    return report.counts(_read(spark, d, "documents"), "source")
+
+
+TRACK = "[" + ", ".join(f"'{k}'" for k in vocab.TRACKING_KEYS) + "]"
+
+
+@_query(rf"""WITH p AS (SELECT page_id, regexp_extract(url, '^(https?)://', 1) AS scheme, lower(regexp_extract(url, '^https?://([^/?#]+)', 1)) AS host,
+  regexp_replace(regexp_extract(url, '^https?://[^/?#]+([^?#]*)', 1), '/+$', '') AS path,
+  list_sort(list_filter(string_split(regexp_extract(url, '\?([^#]*)', 1), '&'), lambda q: contains(q, '=') AND NOT starts_with(q, 'utm_')
+    AND NOT list_contains({TRACK}, string_split(q, '=')[1]))) AS q FROM pages)
+SELECT page_id, host, scheme || '://' || host || CASE WHEN path = '' THEN '/' ELSE path END || CASE WHEN len(q) > 0 THEN '?' || array_to_string(q, '&') ELSE '' END AS normal FROM p""")
+def f02_normal_urls(spark, d):
+    return _read(spark, d, "pages").select("page_id", urls.host("url").alias("host"), urls.normalize_url("url").alias("normal"))
+
+
+@_query("""SELECT page_id, CASE WHEN contains(lower(u), '/market-news') OR contains(lower(u), '/arc/outboundfeeds/') OR contains(lower(u), '/lineup-next/api/') THEN 'feed_or_api_path'
+  WHEN contains(lower(u), 'sitemap') THEN 'sitemap_url' WHEN regexp_matches(u, '[?&](limit|pagenumber|outputtype)=') THEN 'feed_or_list_query' END AS reason
+  FROM (SELECT page_id, CASE page_id % 4 WHEN 1 THEN 'https://x.com/market-news/' || page_id WHEN 2 THEN 'https://x.com/a?limit=5' WHEN 3 THEN 'https://x.com/sitemap.xml' ELSE url END AS u FROM pages)""")
+def f03_url_rejects(spark, d):
+    p = _read(spark, d, "pages")
+    made = F.when(p.page_id % 4 == 1, F.concat(F.lit("https://x.com/market-news/"), "page_id")).when(p.page_id % 4 == 2, "https://x.com/a?limit=5").when(p.page_id % 4 == 3, "https://x.com/sitemap.xml").otherwise(p.url)
+    return p.select("page_id", urls.reject_reason(made).alias("reason"))
+
+
+@_query(f"WITH {TITLED} SELECT tok, count(*) AS df FROM (SELECT unnest({TOKS}) AS tok FROM titled) GROUP BY tok")
+def a20_token_frequency(spark, d):
+    return funnel.document_frequency(_titled(spark, d))
+
+
+PAIRS = f"""{TITLED}, t AS (SELECT bucket, id, day, {TOKS} AS toks, row_number() OVER (PARTITION BY bucket ORDER BY day, id) AS ord FROM titled),
+pairs AS (SELECT a.bucket, a.id AS a, b.id AS b FROM t a JOIN t b ON a.bucket = b.bucket AND a.ord < b.ord AND b.ord - a.ord <= 400 AND b.day - a.day <= 3
+  AND len(list_intersect(a.toks, b.toks)) >= 0.15 * len(list_distinct(list_concat(a.toks, b.toks))) AND len(a.toks) + len(b.toks) > 0)"""
+
+
+@_query(f"WITH {PAIRS} SELECT * FROM pairs")
+def j08_band_pairs(spark, d):
+    return cluster.similar_pairs(_titled(spark, d), ratio=None)
+
+
+@_query(f"""WITH RECURSIVE {PAIRS}, e AS (SELECT bucket || '|' || a AS x, bucket || '|' || b AS y FROM pairs UNION SELECT bucket || '|' || b, bucket || '|' || a FROM pairs),
+reach AS (SELECT DISTINCT x, x AS y FROM e UNION SELECT reach.x, e.y FROM reach JOIN e ON e.x = reach.y) SELECT x AS node, min(y) AS comp FROM reach GROUP BY x""")
+def g02_bucket_components(spark, d):
+    node = lambda c: F.concat_ws("|", "bucket", c)
+    return components(cluster.similar_pairs(_titled(spark, d), ratio=None).select(node("a").alias("a"), node("b").alias("b")))
+
+
+@_query()
+def c08_event_clusters(spark, d):
+    rows = _titled(spark, d)
+    pairs = settle(cluster.similar_pairs(rows), "pairs")
+    return cluster.merge_overlapping(cluster.clusters_in_buckets(rows, pairs))
+
+
+@_query()
+def j09_rare_token_pairs(spark, d):
+    rows = _titled(spark, d)
+    df = funnel.document_frequency(rows)
+    rare = df.filter(F.col("df") <= funnel.rare_limit(rows.count())).select("tok")
+    return cluster.similar_pairs(rows, rare=rare, lower=True)
+
+
+@_query(f"""WITH {TITLED}, tok AS (SELECT id, unnest({TOKS}) AS t FROM titled), df AS (SELECT t, count(*) AS df FROM tok GROUP BY t),
+top AS (SELECT id, t, df FROM tok JOIN df USING (t) QUALIFY row_number() OVER (PARTITION BY id ORDER BY df, t) <= 3)
+SELECT id, t AS bucket FROM top WHERE df >= 2 UNION ALL SELECT id, 'solo:' || id FROM titled WHERE id NOT IN (SELECT id FROM top WHERE df >= 2)""")
+def n14_rare_buckets(spark, d):
+    rows = _titled(spark, d)
+    return funnel.rare_buckets(rows, funnel.document_frequency(rows))
+
+
+@_query(f"WITH {STATS} SELECT event_id, n_articles, n_sources, n_content_types, first_date, last_date, peak_date, n_high, track, rep_title FROM stats")
+def a08_event_stats(spark, d):
+    return cluster.event_stats(_members(spark, d))
+
+
+@_query(f"WITH {SYMS} SELECT event_id, string_agg(sym, ',' ORDER BY sym) AS all_symbols FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY sym) AS rk FROM syms) WHERE rk <= 30 GROUP BY event_id")
+def a14_event_symbols(spark, d):
+    return cluster.event_symbols(_event_symbols(spark, d))
+
+
+@_query(f"WITH {STATS}, {SYMS}, {REACT} SELECT * FROM react")
+def j12_corroboration(spark, d):
+    return _clusters(spark, d).filter("n_v2_reactions > 0").select("event_id", "n_v2_reactions")
+
+
+GATE = "((peak_date >= '2023-07-01' AND (n_articles >= 5 OR (n_articles >= 3 AND n_v2_reactions >= 1))) OR (peak_date < '2023-07-01' AND n_articles >= 2))"
+
+
+@_query(f"WITH {CLUSTERS} SELECT event_id, peak_date, substr(peak_date, 1, 7) AS month, peak_date >= '2023-07-01' AS is_recent, round({SCORE}, 9) AS score FROM clusters WHERE {GATE}")
+def c10_scored_candidates(spark, d):
+    return selection.candidates(_clusters(spark, d)).select("event_id", "peak_date", "month", "is_recent", F.round("score", 9).alias("score"))
+
+
+@_query(f"""WITH {CLUSTERS}, g AS (SELECT * FROM (VALUES (3), (4), (5), (6), (8)) a(recent_min), (VALUES (2), (3)) b(alt_min), (VALUES (2), (3)) c(early_min) WHERE alt_min <= recent_min)
+SELECT recent_min, alt_min, early_min, count(*) FILTER (peak_date >= '2023-07-01' AND (n_articles >= recent_min OR (n_articles >= alt_min AND n_v2_reactions >= 1))) AS recent,
+  count(*) FILTER (peak_date < '2023-07-01' AND n_articles >= early_min) AS early FROM g, clusters GROUP BY ALL""")
+def a17_gate_sweep(spark, d):
+    return selection.sweep(_clusters(spark, d))
+
+
+BINS = "CASE WHEN n_articles = 1 THEN '1' WHEN n_articles = 2 THEN '2' WHEN n_articles <= 4 THEN '3-4' WHEN n_articles <= 9 THEN '5-9' WHEN n_articles <= 49 THEN '10-49' WHEN n_articles <= 199 THEN '50-199' ELSE '200+' END"
+
+
+@_query(f"WITH {STATS} SELECT {BINS} AS bin, count(*) AS clusters FROM stats GROUP BY 1")
+def a21_size_histogram(spark, d):
+    return funnel.size_histogram(cluster.event_stats(_members(spark, d)))
+
+
+SPAN = "date_diff('day', CAST(first_date AS DATE), CAST(last_date AS DATE))"
+
+
+@_query(f"WITH {STATS} SELECT count(*) FILTER (n_articles >= 5) AS n5, count(*) FILTER (n_articles >= 5 AND {SPAN} > 7) AS over7, count(*) FILTER (n_articles >= 5 AND {SPAN} > 30) AS over30, "
+        + ", ".join(f"count(*) FILTER (n_articles >= {n} AND track = '{t}') AS {t}_{n}" for n in (2, 3, 5, 8) for t in ("macro", "company")) + " FROM stats")
+def a22_diagnostics(spark, d):
+    return funnel.diagnostics(cluster.event_stats(_members(spark, d)))
+
+
+def _verdicts(spark, d) -> DataFrame:
+    """labels as verdicts on events that documents are."""
+    doc, lab = _read(spark, d, "documents"), _read(spark, d, "labels")
+    triage = lab.select(F.col("doc_id").alias("event_id"), (F.col("quality") == 1).cast("string").alias("is_valid_event"), (F.col("doc_id") % 6).cast("string").alias("significance"),
+                        F.concat(F.lit("type"), F.col("doc_id") % 4).alias("event_type"), F.array(F.concat(F.lit("S"), F.col("doc_id") % 25)).alias("primary_symbols"),
+                        F.when(F.col("doc_id") % 7 == 0, "2025/03/15").otherwise(F.concat(F.lit("2025-03-1"), F.col("doc_id") % 9)).alias("event_date"), F.lit("").alias("event_subject"))
+    cands = doc.select(F.col("doc_id").alias("event_id"), F.lit("2025-03-20").alias("peak_date"), F.length("text").cast("double").alias("score"))
+    return selection.validated(cands, triage)
+
+
+VERDICTS = """v AS (SELECT doc_id AS event_id, CAST(doc_id % 6 AS INTEGER) AS significance, 'type' || (doc_id % 4) AS event_type, 'S' || (doc_id % 25) AS sym,
+  CASE WHEN doc_id % 7 = 0 THEN '2025-03-20' ELSE '2025-03-1' || (doc_id % 9) END AS event_date, CAST(length(text) AS DOUBLE) AS score
+  FROM documents JOIN labels USING (doc_id) WHERE quality = 1 AND doc_id % 6 >= 3)"""
+
+
+@_query(f"WITH {VERDICTS} SELECT event_id, significance, event_type, event_date FROM v")
+def w18_validated(spark, d):
+    return _verdicts(spark, d).select("event_id", "significance", "event_type", "event_date")
+
+
+@_query(f"WITH {VERDICTS} SELECT event_id FROM v QUALIFY row_number() OVER (PARTITION BY event_type, event_date, sym ORDER BY significance DESC, score DESC, event_id) = 1")
+def n07_keep_best(spark, d):
+    return selection.keep_best(_verdicts(spark, d)).select("event_id")
+
+
+@_query(f"WITH {VERDICTS} SELECT event_id FROM v QUALIFY row_number() OVER (PARTITION BY sym ORDER BY significance DESC, score DESC, event_id) <= 4")
+def n08_symbol_cap(spark, d):
+    return selection.cap_by_symbol(_verdicts(spark, d), 4).select("event_id")
+
+
+@_query(f"""WITH {VERDICTS}, f AS (SELECT * FROM v WHERE event_id % 10 = 0) SELECT event_id FROM v WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.sym = v.sym
+  AND (f.event_date = v.event_date OR (f.event_type = v.event_type AND abs(date_diff('day', CAST(f.event_date AS DATE), CAST(v.event_date AS DATE))) <= 3)))""")
+def j16_without_filed(spark, d):
+    v = _verdicts(spark, d)
+    return selection.without_filed(v, v.filter("event_id % 10 = 0")).select("event_id")
+
+
+@_query(f"""WITH {MEMBERS}, one AS (SELECT * FROM members QUALIFY row_number() OVER (PARTITION BY event_id, substr(lower(title), 1, 60) ORDER BY body_len DESC, id) = 1)
+SELECT event_id, id, CAST(row_number() OVER (PARTITION BY event_id ORDER BY body_len DESC, id) AS INTEGER) AS rk FROM one QUALIFY rk <= 8""")
+def n09_top_members(spark, d):
+    return selection.top_members(_members(spark, d)).select("event_id", "id", "rk")
+
+
+@_query(f"WITH {MEMBERS} SELECT event_id, string_agg(title, ';' ORDER BY body_len DESC, id) AS titles FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY body_len DESC, id) AS rk FROM members) WHERE rk <= 6 GROUP BY event_id")
+def n06_sample_titles(spark, d):
+    return selection.sample_titles(_members(spark, d)).select("event_id", F.array_join("titles", ";").alias("titles"))
+
+
+@_query("SELECT conv_id, count(*) AS n_paragraphs, CAST(sum(coalesce(length(text), 0)) AS BIGINT) AS n_chars, string_agg(text, chr(10) ORDER BY turn, text) FILTER (text <> '') AS body FROM conversations GROUP BY conv_id")
+def a11_paragraphs(spark, d):
+    return records.paragraph_documents(_read(spark, d, "conversations"), "conv_id", "turn", "text")
+
+
+@_query(r"SELECT conv_id, turn, regexp_extract(trim(text), '^((?s).*?[.!?])(\s|$)', 1) AS s FROM conversations WHERE regexp_matches(trim(text), '[.!?](\s|$)')")
+def f36_first_sentence(spark, d):
+    c = _read(spark, d, "conversations").filter(F.trim("text").rlike(r"[.!?](\s|$)"))
+    return c.select("conv_id", "turn", T.first_sentence("text").alias("s"))
+
+
+@_query("SELECT * FROM conversations WHERE turn = (SELECT max(turn) FROM conversations)")
+def w15_latest(spark, d):
+    c = _read(spark, d, "conversations").withColumn("t", F.lpad(F.col("turn").cast("string"), 20, "0"))
+    return filings.latest_day(c, "t").drop("t")
+
+
+PANEL = """panel AS (SELECT CAST(l_suppkey AS VARCHAR) AS symbol, strftime(l_shipdate, '%Y-%m-%d') AS date, CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS DOUBLE) / 100 AS close FROM lineitem GROUP BY 1, 2),
+s AS (SELECT *, row_number() OVER w - 1 AS k, count(*) OVER (PARTITION BY symbol) AS n, lead(date, 1) OVER w AS first_tradable, lead(close, 1) OVER w AS c1, lead(close, 5) OVER w AS c5, lead(close, 20) OVER w AS c20
+  FROM panel WINDOW w AS (PARTITION BY symbol ORDER BY date)),
+ev AS (SELECT DISTINCT o_custkey AS event_id, CAST(l_suppkey AS VARCHAR) AS symbol, '1998-06-15' AS event_date, CASE WHEN o_custkey % 2 = 0 THEN 'pre_market' ELSE 'after' END AS bucket FROM orders JOIN lineitem ON l_orderkey = o_orderkey),
+base AS (SELECT event_id, ev.symbol, s.date, s.close, k, n, first_tradable, c1, c5, c20 FROM ev JOIN s ON s.symbol = ev.symbol AND (s.date < event_date OR (bucket <> 'pre_market' AND s.date = event_date))
+  QUALIFY row_number() OVER (PARTITION BY event_id, ev.symbol ORDER BY s.date DESC) = 1)"""
+
+
+def _panel(spark, d) -> DataFrame:
+    cents = F.sum(F.round(F.col("l_extendedprice") * 100).cast("long")).cast("double") / 100
+    return _read(spark, d, "lineitem").groupBy(F.col("l_suppkey").cast("string").alias("symbol"), F.date_format("l_shipdate", "yyyy-MM-dd").alias("date")).agg(cents.alias("close"))
+
+
+def _priced_events(spark, d) -> DataFrame:
+    return _event_symbols(spark, d).select("event_id", F.col("sym").alias("symbol"), F.lit("1998-06-15").alias("event_date"), F.when(F.col("event_id") % 2 == 0, "pre_market").otherwise("after").alias("bucket"))
+
+
+@_query(f"WITH {PANEL} SELECT event_id, symbol, date, k, first_tradable FROM base")
+def j18_base_sessions(spark, d):
+    return market.base_sessions(_priced_events(spark, d), _panel(spark, d)).select("event_id", "symbol", "date", F.col("k").cast("long").alias("k"), F.col("first_date").alias("first_tradable"))
+
+
+@_query(f"""WITH {PANEL}, l AS (SELECT event_id, symbol, date AS base_close_date, first_tradable, round((c1 / close - 1) * 100, 3) AS ret_1d, round((c5 / close - 1) * 100, 3) AS ret_5d,
+  round((c20 / close - 1) * 100, 3) AS ret_20d, count(*) OVER (PARTITION BY event_id) AS n_labels FROM base WHERE k >= 15 AND k + 21 <= n)
+SELECT *, CAST(row_number() OVER (PARTITION BY event_id ORDER BY ret_20d DESC, symbol) AS INTEGER) AS rank_20d FROM l WHERE n_labels >= 3""")
+def c15_labels(spark, d):
+    return market.labels(_priced_events(spark, d), _panel(spark, d))
+
+
+@_query(f"""WITH {PANEL}, l AS (SELECT event_id, date AS d, count(*) AS c, min(date) AS f FROM base GROUP BY 1, 2)
+SELECT event_id, d AS base_close_date FROM l QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY c DESC, d) = 1""")
+def a28_consensus_calendar(spark, d):
+    base = market.base_sessions(_priced_events(spark, d), _panel(spark, d))
+    return assembly.consensus_calendar(base.select("event_id", F.col("date").alias("base_close_date")))
+
+
+@_query("""WITH b AS (SELECT user_id AS event_id, event_type AS symbol, timezone('America/New_York', timezone('UTC', ts)) AS l, value FROM events)
+SELECT event_id, symbol, strftime(l, '%Y-%m-%d') AS date, count(*) AS bar_count, min(strftime(l, '%H:%M')) AS first_t, max(strftime(l, '%H:%M')) AS last_t, false AS complete
+FROM b WHERE strftime(l, '%H:%M') BETWEEN '09:30' AND '15:59' GROUP BY 1, 2, 3""")
+def a27_intraday_panels(spark, d):
+    e = _read(spark, d, "events").select(F.col("user_id").alias("event_id"), F.col("event_type").alias("symbol"), "ts", *[F.col("value").alias(c) for c in ("open", "high", "low", "close", "volume")])
+    p = market.intraday_panel(e)
+    return p.select("event_id", "symbol", "date", F.col("bar_count").cast("long").alias("bar_count"), F.get("bars", F.lit(0))["t"].alias("first_t"), F.element_at("bars", -1)["t"].alias("last_t"), "complete")
+
+
+def _story_index(spark, d) -> DataFrame:
+    return _titled(spark, d).select("id", F.date_format("day", "yyyy-MM-dd").alias("pub_date"), F.concat(F.date_format("day", "yyyy-MM-dd"), F.lit("T00:00:00Z")).alias("published_at"), "title",
+                                    F.when(F.col("id") % 3 == 0, "US_FLASH").otherwise("US_NEWS").alias("content_type"), F.concat_ws(",", F.concat(F.lit("S"), F.col("id") % 20)).alias("symbols"))
+
+
+@_query(f"""WITH {TITLED}, ev AS (SELECT item_id AS event_id, DATE '2026-01-02' AS d, 'S' || (item_id % 20) AS sym FROM benchmark),
+hit AS (SELECT event_id, id, strftime(day, '%Y-%m-%d') || 'T00:00:00Z' AS p, CASE WHEN id % 3 = 0 THEN 'Flash' ELSE 'News' END AS category, substr(lower(regexp_replace(title, '\\s+', ' ', 'g')), 1, 80) AS tk
+  FROM ev JOIN titled ON day BETWEEN d - 3 AND d + 1 AND 'S' || (id % 20) = sym),
+one AS (SELECT * FROM hit QUALIFY row_number() OVER (PARTITION BY event_id, category, tk ORDER BY p, id) = 1)
+SELECT event_id, id, category, CAST(row_number() OVER (PARTITION BY event_id, category ORDER BY p, id) AS INTEGER) AS rk FROM one QUALIFY rk <= 10""")
+def j19_related(spark, d):
+    ev = _read(spark, d, "benchmark").select(F.col("item_id").alias("event_id"), F.lit("2026-01-02").alias("event_date"), F.array(F.concat(F.lit("S"), F.col("item_id") % 20)).alias("symbols"), F.lit("").alias("pattern"))
+    return assembly.related(ev, _story_index(spark, d)).select("event_id", "id", "category", "rk")
+
+
+@_query(f"""WITH {TITLED}, r AS (SELECT *, CASE WHEN regexp_matches(lower(title), 'conference call|webcast|financial results|horoscope|price target') THEN 'L1' WHEN body_len < 200 AND length(title) < 40 THEN 'L3' END AS e,
+  array_to_string(list_sort({TOKS}), ' ') AS bag FROM titled),
+k AS (SELECT *, coalesce(e, CASE WHEN bag <> '' AND row_number() OVER (PARTITION BY day, bag, e IS NULL ORDER BY CASE WHEN src = 'FLASH' THEN 0 ELSE 1 END, id) > 1 THEN 'L4' END, 'kept') AS layer FROM r)
+SELECT src, layer, count(*) AS n FROM k GROUP BY 1, 2""")
+def a19_funnel_layers(spark, d):
+    return funnel.layer_counts(funnel.layers(_titled(spark, d)))
+
+
+@_query(r"""WITH t AS (SELECT p_brand AS src, string_split(p_name || ' ' || p_size || ' is on sale Now', ' ') AS w, p_name FROM part),
+s AS (SELECT src, array_to_string(list_transform(w, lambda x: CASE WHEN regexp_matches(x, '\d') THEN '#' WHEN regexp_matches(x, '^[A-Z]') THEN '@' ELSE lower(x) END), ' ') AS skel FROM t)
+SELECT skel, count(*) AS freq FROM s GROUP BY skel HAVING count(*) >= 20""")
+def f30_skeletons(spark, d):
+    title = F.concat_ws(" ", "p_name", "p_size", F.lit("is on sale Now"))
+    return _read(spark, d, "part").groupBy(T.skeleton(title).alias("skel")).agg(F.count("*").alias("freq")).filter("freq >= 20")
+
+
+@_query("""WITH t AS (SELECT p_name AS skel, p_brand AS src, p_size FROM part), c AS (SELECT skel, src, count(*) AS n FROM t GROUP BY 1, 2)
+SELECT 'the ' || skel || ' is @ #' AS skel, CAST(sum(n) AS BIGINT) AS freq, any_value(k) AS n_subjects, CAST(max(n) AS DOUBLE) / sum(n) AS share
+FROM c JOIN (SELECT skel, count(DISTINCT p_size) AS k FROM t GROUP BY 1) USING (skel) GROUP BY skel HAVING sum(n) >= 20 AND any_value(k) >= 2""")
+def a24_templates(spark, d):
+    size = F.translate(F.col("p_size").cast("string"), "0123456789", "abcdefghij")
+    p = _read(spark, d, "part").select(F.col("p_brand").alias("src"), F.concat(F.lit("the "), "p_name", F.lit(" is X"), size, F.lit(" 7")).alias("title"))
+    return funnel.mine_templates(p, subjects=2, share=0.0)
+
+
+@_query()
+def a25_holdout(spark, d):
+    return funnel.holdout(_titled(spark, d).withColumn("day", F.date_format("day", "yyyy-MM-dd")), "2026-01-01", least=2, subjects=1, share=0.0, fixed=1)
+
+
+@_query("SELECT o_custkey AS k FROM orders EXCEPT SELECT c_custkey FROM customer WHERE c_mktsegment = 'MACHINERY'")
+def k08_pending(spark, d):
+    work = _read(spark, d, "orders").select(F.col("o_custkey").alias("k")).distinct()
+    done = _read(spark, d, "customer").filter("c_mktsegment = 'MACHINERY'").select(F.col("c_custkey").alias("k"))
+    return sinks.pending(work, done, "k")
+
+
+@_query("SELECT o_custkey, o_orderkey FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) = 1")
+def k08_latest(spark, d):
+    return sinks.latest(_read(spark, d, "orders").select("o_custkey", "o_orderkey"), "o_custkey", "o_orderkey")
+
+
+@_query("SELECT symbol, strftime(date, '%Y-%m-%d') AS date, max(v) AS v FROM (SELECT l_suppkey AS symbol, CAST(l_shipdate AS DATE) AS date, 1 AS v FROM lineitem WHERE l_suppkey % 2 = 0 UNION ALL SELECT l_suppkey, CAST(l_shipdate AS DATE), 0 FROM lineitem) GROUP BY 1, 2")
+def u10_merge_panels(spark, d):
+    rows = _read(spark, d, "lineitem").select(F.col("l_suppkey").alias("symbol"), F.date_format("l_shipdate", "yyyy-MM-dd").alias("date"))
+    return market.merge_panels(rows.filter("symbol % 2 = 0").distinct().withColumn("v", F.lit(1)), rows.withColumn("v", F.lit(0)))
+
+
+@_query("""SELECT item_id, CAST(item_id % 2 AS INTEGER) AS n_leaks FROM benchmark""")
+def f47_leakage(spark, d):
+    b = _read(spark, d, "benchmark").select("item_id", F.lit("2025-06-01").alias("event_date"), F.array(F.struct(F.lit("m").alias("metric"), F.when(F.col("item_id") % 2 == 1, "due 2025-06-02").otherwise("2025-06-01").alias("value"), F.col("text").alias("context"))).alias("facts"))
+    return assembly.audit(b).select("item_id", F.size("leaks").alias("n_leaks"))
+
+
+@_query("""SELECT case_id || CASE WHEN row_number() OVER (PARTITION BY case_id ORDER BY e) > 1 THEN '_' || right(e, 4) ELSE '' END AS case_id, e AS event_id
+FROM (SELECT 'CASE_' || upper(p_brand[1:5]) || '_' || p_size AS case_id, 'EVT_' || lpad(CAST(p_partkey AS VARCHAR), 6, '0') AS e FROM part)""")
+def n13_case_ids(spark, d):
+    p = _read(spark, d, "part").select(F.concat(F.lit("EVT_"), F.lpad(F.col("p_partkey").cast("string"), 6, "0")).alias("event_id"), F.concat(F.lit("case-"), F.substring("p_brand", 1, 5), F.lit("-"), "p_size").alias("c"))
+    return assembly.unique_case_ids(p.select("event_id", T.case_id("c", F.lit(""), "event_id").alias("case_id")))
+
+
+@_query(r"SELECT page_id, substr(trim(regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '[ \t\n\r\f\v]+', ' ', 'g')), 1, 200) AS s FROM pages")
+def f33_snippets(spark, d):
+    return _read(spark, d, "pages").select("page_id", T.snippet("html").alias("s"))
+
+
+@_query("SELECT event_id, CAST(abs(floor(epoch(ts - TIMESTAMP '2024-01-15 12:00:00') / 86400)) AS BIGINT) AS gap FROM (SELECT event_id, date_trunc('second', ts) AS ts FROM events)")
+def f25_date_gaps(spark, d):
+    e = _read(spark, d, "events")
+    return e.select("event_id", T.date_gap_days(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.lit("2024-01-15T12:00:00Z")).cast("long").alias("gap"))
+
+
+@_query()
+def p07_page_texts(spark, d):
+    return _read(spark, d, "pages").select("page_id", T.html_to_text("html").alias("text"))
+
+
+@_query()
+def c03_near_duplicates(spark, d):
+    doc = _keyed(spark, d).join(_read(spark, d, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("body")), "id")
+    doc = doc.withColumns({"title": F.substring("body", 1, 80), "host": F.col("source"), "content_type": F.lit("US_NEWS")})
+    pairs, losers = dedup.near(settle(dedup.exact(doc)[0], "winners"))
+    return losers.select("loser", "canonical_id", "dedup_key")
+
+
+@_query()
+def c01_ingest(spark, d):
+    raw = _read(spark, d, "pages").select(
+        F.lit("content_batch_1.ndjson").alias("file"), F.col("page_id").alias("line_no"),
+        F.when(F.col("page_id") % 11 == 0, "{broken").otherwise(F.to_json(F.struct(
+            F.col("page_id").cast("string").alias("_id"), F.when(F.col("page_id") % 7 == 0, "US_NOTICE").otherwise("US_NEWS").alias("businessCode"), F.lit(1).alias("type"),
+            F.substring("html", 1, 60).alias("title"), F.col("html").alias("content"), (F.lit(1700000000) + F.col("page_id")).alias("ctime"), F.struct(F.col("url").alias("sourceUrl")).alias("news"),
+        ))).alias("raw"),
+    )
+    from eventloom.functions import keys
+
+    out = records.transform(raw)
+    return out.select("id", "content_type", "published_at", "reject_reason", F.length("body").alias("body_len"), keys.dedup_key(F.col).alias("d")).select("*", "d.key", "d.method").drop("d")
+
+
+@_query("SELECT source AS symbol, lang AS name, count(*) AS count FROM documents GROUP BY 1, 2")
+def a18_symbol_names(spark, d):
+    stocks = F.struct(F.array(F.struct(F.col("source").alias("symbol"), F.col("lang").alias("name"))).alias("stocks")).alias("entities")
+    return records.symbol_names(_read(spark, d, "documents").select(stocks))
+
+
+@_query("""SELECT page_id, CASE WHEN page_id % 3 = 0 THEN '' ELSE CAST(DATE '1999-12-25' + CAST(page_id AS INTEGER) AS VARCHAR) END AS d
+FROM pages WHERE page_id % 3 = 0 OR page_id >= 7""")
+def p09_norm_dates(spark, d):
+    p = _read(spark, d, "pages").filter("page_id % 3 = 0 OR page_id >= 7")
+    day = F.when(F.col("page_id") % 3 == 0, "n/a").otherwise(F.concat(F.date_format(F.date_add(F.lit("1999-12-25").cast("date"), F.col("page_id").cast("int")), "yyyy-MM-dd"), F.lit("T01:02:03Z")))
+    return p.select("page_id", T.norm_date(day).alias("d"))
+
+
+@_query()
+def w01_event_pool(spark, d):
+    doc = _titled(spark, d).select("id", F.lit("US_NEWS").alias("content_type"), F.date_format("day", "yyyy-MM-dd").alias("pub_date"), "body_len", "title", F.lit("").alias("tags"),
+                                   F.upper("bucket").alias("symbols"), F.lit(1).alias("n_symbols"), F.lit(False).alias("has_crypto"))
+    return cluster.pool(doc).select("id", "bucket", "track")
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(_QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(_SQL)
