@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 
@@ -16,8 +18,28 @@ NOT_ALNUM = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BLANKS = r"[\x20\x09-\x0D]+"
 
 
+#: Rows of an Arrow batch at most, so that long texts do not fill an executor.
+BATCH_ROWS = 1000
+
+
+def release() -> None:
+    """Return freed memory of a Python worker to the system; workers are kept between stages."""
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches by BATCH_ROWS; a smaller bound stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, BATCH_ROWS)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's tables."""
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -38,6 +60,7 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     """Write `df` to a table in the shared folder and read it back: lineage ends there, so a
     lost executor costs only re-reading, and several consumers do not recompute the work."""
     spark = df.sparkSession
+    small_batches(spark)
     path = f"{scratch_dir(spark)}/eventloom/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

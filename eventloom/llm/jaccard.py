@@ -32,6 +32,8 @@ SKETCH, PART = 1 << 20, 1 << 16
 SMALL = 8
 #: Different choices of pivots, so that a set meets several.
 CHOICES = 16
+#: Texts to compare are picked by broadcast up to so many ids (16 bytes each).
+BROADCAST_IDS = 500_000
 
 
 def prefix(n, percent):
@@ -217,7 +219,10 @@ def verify(docs: DataFrame, sets: DataFrame, pairs: DataFrame, percent: int) ->
     """The pairs (a, b) of set ids that link. Only texts that stand for a set in `pairs` are read into sets."""
     wanted = pairs.select(F.col("a").alias("e")).union(pairs.select("b")).distinct()
     stand = sets.join(wanted, "e", "left_semi").groupBy("e").agg(F.min("doc_id").alias("id")).select("id", F.col("e").alias("set"))
-    texts = docs.select("doc_id", "text").join(stand.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("id"))).select("set", "text")
+    stand = settle(stand, "stand")
+    # Two numbers a row: broadcast while few, else the texts are shuffled.
+    stand = F.broadcast(stand) if stand.count() <= BROADCAST_IDS else stand.hint("shuffle_hash")
+    texts = docs.select("doc_id", "text").join(stand, F.col("doc_id").eqNullSafe(F.col("id"))).select("set", "text")
 
     def read(batches):
         for batch in batches:
@@ -231,7 +236,7 @@ def verify(docs: DataFrame, sets: DataFrame, pairs: DataFrame, percent: int) ->
                         raw.append(s.tobytes())
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(raw, pa.binary())], names=["e", "s"])
 
-    held = settle(texts.mapInArrow(read, "e long, s binary").dropDuplicates(["e"]), "held-sets")
+    held = settle(texts.mapInArrow(read, "e long, s binary"), "held-sets")  # twice where a row is; links are made distinct
     right = pairs.join(held.select(F.col("e").alias("b"), F.col("s").alias("sb")), "b")
     whole = right.join(held.select(F.col("e").alias("a"), F.col("s").alias("sa")), "a").select("a", "b", "sa", "sb")
 

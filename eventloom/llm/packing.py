@@ -54,6 +54,7 @@ def pieces(docs: DataFrame, path: str, capacity: int, end_id: int) -> DataFrame:
                     ],
                     names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "salt"],
                 )
+        enc.forget()
 
     narrow = docs.select("doc_id", "text")
     return narrow.mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, salt int")

@@ -23,8 +23,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from eventloom.llm.common import release
+
 #: Entries of a worker's chunk memory; when full it starts anew, so memory stays bounded.
-MEMORY = 400_000
+MEMORY = 120_000
 #: Pre-token pattern of the vocabulary, restricted to the characters that take the fast path.
 LATIN = "a-zß-öø-ÿ"
 PRETOKEN = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LATIN}ªµº]+|[0-9²³¹¼½¾]|[^\s0-9{LATIN}ªµº²³¹¼½¾]+")
@@ -146,17 +148,16 @@ class Encoder:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.suffix = spec["model"].get("end_of_word_suffix") or ""
-        self.vocab = spec["model"]["vocab"]
         self.specials = [t["content"].encode() for t in spec.get("added_tokens", [])]
-        self.merger = Merger(self.vocab, spec["model"]["merges"], self.suffix)
-        self.whole = self.whole_tokens()
+        self.merger = Merger(spec["model"]["vocab"], spec["model"]["merges"], self.suffix)
+        self.whole = self.whole_tokens(spec["model"]["vocab"])
         self.memory: dict[bytes, bytes] = {}
 
-    def whole_tokens(self) -> dict[str, bytes]:
+    def whole_tokens(self, vocab: dict[str, int]) -> dict[str, bytes]:
         """Pre-tokens proved to encode alone as one token, with that id packed. On the way the array
         merges are held against the library on every vocabulary string."""
         letters, texts = _byte_letters(), []
-        for token in self.vocab:
+        for token in vocab:
             try:
                 text = bytes(letters[c] for c in token.removesuffix(self.suffix)).decode()
             except (KeyError, UnicodeDecodeError):
@@ -169,6 +170,11 @@ class Encoder:
             raise ValueError("the merges do not give the library's tokens")
         return {t: i for t, i in zip(texts, proof, strict=True) if len(i) == 4}
 
+    def forget(self) -> None:
+        """Give the chunk memory back when a task ends; the worker may live on for long."""
+        self.memory = {}
+        release()
+
     def slow(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
@@ -179,7 +185,7 @@ class Encoder:
         for t in texts:
             block.append((t or "").encode())
             size += len(block[-1])
-            if size > 4_000_000:
+            if size > 1_000_000:
                 yield from self._block(block)
                 block, size = [], 0
         yield from self._block(block)
@@ -219,7 +225,7 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int = 8_000_000) -> Iterator[tuple[int, list]]:
+def slices(batch: pa.RecordBatch, column: str, most: int = 2_000_000) -> Iterator[tuple[int, list]]:
     """(first row, texts) of parts of a batch with a bounded number of characters."""
     part, size, start = [], 0, 0
     for i, x in enumerate(batch.column(column)):
@@ -255,6 +261,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 2048, doc_id: str = "d
                     ],
                     names=["doc_id", "n_bytes", "n_tokens", "over_limit"],
                 )
+        enc.forget()
 
     narrow = docs.selectExpr(f"`{doc_id}` AS doc_id", f"`{text}` AS text")
     return narrow.mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
