@@ -215,6 +215,23 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
+def bucket_counts(s: np.ndarray) -> np.ndarray:
+    """How many tokens of a set fall in each of a power of two of buckets, about four in each."""
+    bits = max(0, (len(s) // 4).bit_length())
+    return np.bincount((mix(s) >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(s), np.int64), minlength=1 << bits).astype(np.uint16)
+
+
+def may_overlap(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether the bucket counts of two sets allow a link: no bucket shares more than its lesser count."""
+    n1, n2 = int(a.sum(dtype=np.int64)), int(b.sum(dtype=np.int64))
+    while len(a) > len(b):
+        a = a.reshape(-1, 2).sum(axis=1)
+    while len(b) > len(a):
+        b = b.reshape(-1, 2).sum(axis=1)
+    both = int(np.minimum(a, b).sum(dtype=np.int64))
+    return 100 * both >= percent * (n1 + n2 - both)
+
+
 def verify(docs: DataFrame, sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of set ids that link. Only texts that stand for a set in `pairs` are read into sets."""
     wanted = pairs.select(F.col("a").alias("e")).union(pairs.select("b")).distinct()
@@ -228,17 +245,32 @@ def verify(docs: DataFrame, sets: DataFrame, pairs: DataFrame, percent: int) ->
         for batch in batches:
             want = batch.column("set").to_pylist()
             for start, part in slices(batch, "text"):
-                ids, raw = [], []
+                ids, raw, few = [], [], []
                 for k, t in enumerate(part):
                     s = shingle_set(t)
                     if len(s) and set_id(s) == want[start + k]:  # rows may share an id but not a text
                         ids.append(want[start + k])
                         raw.append(s.tobytes())
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(raw, pa.binary())], names=["e", "s"])
+                        few.append(bucket_counts(s).tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(raw, pa.binary()), pa.array(few, pa.binary())], names=["e", "s", "c"])
+
+    held = settle(texts.mapInArrow(read, "e long, s binary, c binary"), "held-sets")  # twice where a row is; links are made distinct
+
+    def meet(pairs, column, ids):
+        side = held.select("e", column).join(ids, "e", "left_semi") if ids is not None else held.select("e", column)
+        right = pairs.join(side.select(F.col("e").alias("b"), F.col(column).alias("sb")), "b")
+        return right.join(side.select(F.col("e").alias("a"), F.col(column).alias("sa")), "a").select("a", "b", "sa", "sb")
+
+    def near(batches):
+        for batch in batches:
+            sa, sb = batch.column("sa"), batch.column("sb")
+            keep = [may_overlap(np.frombuffer(x.as_py(), np.uint16), np.frombuffer(y.as_py(), np.uint16), percent) for x, y in zip(sa, sb, strict=True)]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    held = settle(texts.mapInArrow(read, "e long, s binary"), "held-sets")  # twice where a row is; links are made distinct
-    right = pairs.join(held.select(F.col("e").alias("b"), F.col("s").alias("sb")), "b")
-    whole = right.join(held.select(F.col("e").alias("a"), F.col("s").alias("sa")), "a").select("a", "b", "sa", "sb")
+    # Counts, a sixteenth of a set, meet first; whole sets only for the pairs that they leave.
+    close = settle(meet(pairs, "c", None).mapInArrow(near, "a long, b long").distinct(), "close")
+    ids = settle(close.select(F.col("a").alias("e")).union(close.select("b")).distinct(), "close-ids")
+    whole = meet(close, "s", F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids)
 
     def check(batches):
         for batch in batches:
