@@ -5,6 +5,7 @@ import random
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 
 pytest.importorskip("eventloom.llm")
@@ -26,7 +27,7 @@ def test_same_as_sql(spark, name):
     got, want = queries.queries()[name](spark, DATA).toPandas(), con.sql(queries.oracle_sql()[name]).df()
 
     def rows(df):
-        cells = lambda x: "" if x is None or x != x else str(float(x)) if isinstance(x, (int, float)) and not isinstance(x, bool) else str(x)
+        cells = lambda x: "" if pd.isna(x) else str(float(x)) if isinstance(x, (int, float)) and not isinstance(x, bool) else str(x)
         return sorted(tuple(map(cells, r)) for r in df[sorted(df.columns)].astype(object).values.tolist())
 
     assert rows(got) == rows(want)
