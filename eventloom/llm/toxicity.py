@@ -40,9 +40,16 @@ IDENTITIES = (
 )
 
 
-def features_of(text: str | None) -> set[str]:
-    """Words and marked word beginnings that occur in a text."""
+#: Each identity term with the term it is swapped for.
+SWAPPED = {t: kind[(k + 1) % len(kind)] for kind in IDENTITIES for k, t in enumerate(kind)}
+
+
+def features_of(text: str | None, swap: bool = False) -> set[str]:
+    """Words and marked word beginnings that occur in a text, or in its counterfactual copy, in which
+    each identity term is swapped."""
     words = set(WORD.findall((text or "").lower()))
+    if swap:
+        words = {SWAPPED.get(w, w) for w in words}
     out = set(words)
     for n in STEMS:
         out.update([f"{w[:n]}*" for w in words if len(w) >= n])
@@ -110,36 +117,35 @@ def train(
     index = {n: i for i, n in enumerate(names)}
 
     def present(batches):
+        def found(texts, swap):
+            return pa.array([sorted(index[f] for f in features_of(t, swap) & index.keys()) for t in texts], pa.list_(pa.int32()))
+
         for batch in batches:
             y = batch.column("y")
             for start, part in slices(batch, "text"):
-                found = [sorted(index[f] for f in features_of(t) & index.keys()) for t in part]
-                yield pa.RecordBatch.from_arrays([y.slice(start, len(part)), pa.array(found, pa.list_(pa.int32()))], names=["y", "x"])
+                yield pa.RecordBatch.from_arrays([y.slice(start, len(part)), found(part, False), found(part, True)], names=["y", "x", "c"])
 
-    rows = texts.mapInArrow(present, "y int, x array<int>").collect()
-    rows.sort(key=lambda r: (r["y"], r["x"]))
-    x = np.zeros((len(rows), len(names)), np.float32)
+    rows = texts.mapInArrow(present, "y int, x array<int>, c array<int>").collect()
+    rows.sort(key=lambda r: (r["y"], r["x"], r["c"]))
     y = np.array([r["y"] for r in rows], np.float32)
-    for i, r in enumerate(rows):
-        x[i, r["x"]] = 1
-    weights, bias = fit(x, y, swaps(x, index), penalty, l2)
+    x, swapped = (presence([r[k] for r in rows], len(names)) for k in ("x", "c"))
+    weights, bias = fit(x, y, swaps(x, swapped), penalty, l2)
     kept = {n: float(w) for n, w in zip(names, weights, strict=True) if abs(w) > 1e-3}
     return ToxicityModel(kept, float(bias))
 
 
-def swaps(x: np.ndarray, index: dict[str, int]) -> np.ndarray:
+def presence(rows: list[list[int]], width: int) -> np.ndarray:
+    """A 0/1 matrix with the named columns of each row set."""
+    out = np.zeros((len(rows), width), np.float32)
+    for i, at in enumerate(rows):
+        out[i, at] = 1
+    return out
+
+
+def swaps(x: np.ndarray, swapped: np.ndarray) -> np.ndarray:
     """Difference of each row that names a group to its counterfactual, rows without one left out."""
-    out = []
-    for kind in IDENTITIES:
-        at = [index[t] for t in kind]
-        for i in np.flatnonzero(x[:, at].any(axis=1)):
-            d = np.zeros(x.shape[1], np.float32)
-            for k, a in enumerate(at):
-                if x[i, a]:
-                    d[a] += 1
-                    d[at[(k + 1) % len(at)]] -= 1
-            out.append(d)
-    return np.array(out, np.float32).reshape(-1, x.shape[1])
+    diff = swapped - x
+    return diff[diff.any(axis=1)]
 
 
 def fit(x: np.ndarray, y: np.ndarray, diff: np.ndarray, penalty: float, l2: float, rounds: int = 400) -> tuple[np.ndarray, float]:

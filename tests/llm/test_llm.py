@@ -108,12 +108,18 @@ def test_swapped_identities_do_not_matter():
     x, y = np.zeros((80, len(index)), np.float32), np.zeros(80, np.float32)
     x[:40, index["muslim"]] = x[:40, index["bad"]] = y[:40] = 1
     plain, _ = toxicity.fit(x, y, np.zeros((0, len(index)), np.float32), 1.0, 1e-3)
-    fair, _ = toxicity.fit(x, y, toxicity.swaps(x, index), 20.0, 1e-3)
+    texts = ["a muslim bad"] * 40 + [""] * 40
+    swapped = toxicity.presence([[index[f] for f in toxicity.features_of(t, True) & index.keys()] for t in texts], len(index))
+    fair, _ = toxicity.fit(x, y, toxicity.swaps(x, swapped), 20.0, 1e-3)
     gap = lambda w: abs(w[index["muslim"]] - w[index["christian"]])
     swap = lambda w: abs(w[index["muslim"]] - w[index["jewish"]])
     assert swap(fair) < swap(plain) / 2 and gap(fair) <= gap(plain)
 
 
+def test_counterfactual_copies_swap_word_beginnings_too():
+    assert toxicity.features_of("A Muslim sat", True) == toxicity.features_of("a jewish sat")
+
+
 def test_main_text():
     page = "<html><head><title>t</title></head><body><nav><ul><li><a href=/a>Home</a></li></ul></nav><article><h1>Head line</h1><p><b>One &amp; two words here.<br><p>More   words in the article.</article><div class=comments><p>Reader says no.</p></div><footer>&copy; x.com</footer>"
     assert html.main_texts(html.labeller(), [page, None, ""]) == ["Head line One & two words here. More words in the article.", "", ""]
