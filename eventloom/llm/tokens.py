@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame
 
 from eventloom.llm.common import release
 
-#: Entries of a worker's chunk memory; when full it starts anew, so memory stays bounded.
-MEMORY = 120_000
+#: Entries of a worker's chunk memory; when full, only those of the present block stay.
+MEMORY = 300_000
 #: Pre-token pattern of the vocabulary, restricted to the characters that take the fast path.
 LATIN = "a-zß-öø-ÿ"
 PRETOKEN = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LATIN}ªµº]+|[0-9²³¹¼½¾]|[^\s0-9{LATIN}ªµº²³¹¼½¾]+")
@@ -209,7 +209,7 @@ class Encoder:
         used = set().union(*chunks)
         new = used.difference(self.memory)
         if len(self.memory) + len(new) > MEMORY:  # a block is bounded, so it fits alone
-            self.memory, new = {}, used
+            self.memory = {c: self.memory[c] for c in used.difference(new)}
         if new:
             gc.disable()  # many short-lived lists, none of them cyclic
             self._learn(list(new))
