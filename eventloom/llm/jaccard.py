@@ -9,7 +9,8 @@ and rotated hashes), before their sets are intersected.
 
 Equal sets are one node. In a bucket of more than a few sets each is compared with a pivot, which
 takes work in proportion to the bucket; the sets that stay in different components after that are
-compared with all others of their bucket, so no link between components is lost.
+compared with all others of their bucket that they meet in as many buckets as a link needs, so no
+link between components is lost.
 """
 
 from __future__ import annotations
@@ -311,10 +312,16 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, percent: int = 80)
     most = F.least(p1, p2) + 1 + F.least(n1 - p1 - 1, n2 - p2 - 1)
     bound = (100 * F.least(n1, n2) >= percent * F.greatest(n1, n2)) & (most >= need)
     once = (F.col("y.c") == F.col("y.top")) | (F.col("x.e") < F.col("y.e"))
+    # The i-th common token of linked sets is at most at i + n - need in each, so `need` less the sure
+    # part of the larger set's rest lie in both prefixes. A pair that meets in a small bucket is in
+    # `pairs`; any other meets in large buckets only, once in each, so that many times here.
+    meetings = need + F.floor(-percent * F.greatest(n1, n2) / 100) + 1
     cross = (
         x.join(y, (F.col("x.tok") == F.col("y.tok")) & (F.col("x.c") != F.col("y.c")) & bound & once)
-        .select(F.least("x.e", "y.e").alias("a"), F.greatest("x.e", "y.e").alias("b"))
-        .distinct()
+        .groupBy(F.least("x.e", "y.e").alias("a"), F.greatest("x.e", "y.e").alias("b"))
+        .agg(F.count("*").alias("met"), F.max(meetings).alias("least"))
+        .filter("met >= least")
+        .select("a", "b")
     )
     cross = settle(cross.join(pairs, ["a", "b"], "left_anti"), "cross")
     if not cross.isEmpty():
