@@ -79,6 +79,34 @@ def test_jaccard_against_brute_force(spark):
     assert got == dict(enumerate(root))
 
 
+def test_jaccard_of_open_buckets(spark):
+    """A cloud of copies near the threshold and texts that share a passage, in more than small buckets."""
+    rng = random.Random(11)
+    base, passage = ([f"w{rng.randrange(3000)}" for _ in range(n)] for n in (120, 60))
+    rows = []
+    for _ in range(150):
+        w = list(base)
+        for _ in range(rng.randrange(6)):
+            w[rng.randrange(len(w))] = f"x{rng.randrange(10**6)}"
+        rows.append((len(rows), " ".join(w[: rng.randrange(96, 121)])))
+    for _ in range(100):
+        w = passage[: rng.randrange(5, 61)] + [f"y{rng.randrange(10**6)}" for _ in range(rng.randrange(12))]
+        rows.append((len(rows), " ".join(w)))
+    sets = [set(shingles.shingle_set(t).tolist()) for _, t in rows]
+    links = [[j for j, y in enumerate(sets) if 100 * len(x & y) >= 80 * len(x | y)] for x in sets]
+    want: dict[int, int] = {}
+    for first in range(len(rows)):
+        todo = [first] if first not in want else []
+        while todo:
+            i = todo.pop()
+            if i not in want:
+                want[i] = first
+                todo += links[i]
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.jaccard_components(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(set(want.values())) > 20
+    assert got == want
+
+
 def test_packing_pattern_counts():
     rng = random.Random(1)
     histogram = {rng.randrange(1, 101): rng.randrange(1, 50) for _ in range(40)}
