@@ -131,6 +131,18 @@ def test_passages_are_found_and_cut(spark):
     assert left == {1: 120, 2: 39, 3: 200}
 
 
+def piece(a, b, m=None, src=1):
+    return {"a": a, "b": b, "src": src, "s": a, "m": b - a if m is None else m, "w": np.arange(a, b, dtype=np.uint64).tobytes()}
+
+
+def test_a_passage_stays_beside_short_shared_lines():
+    spans = lambda parts: [(x[0], x[1], x[4]) for x in substring.join_pieces(parts, 50, 0.8)]
+    assert spans([piece(0, 52), piece(62, 74), piece(84, 96)]) == [(0, 52, 52)]
+    assert spans([piece(0, 60), *(piece(a, a + 15) for a in range(70, 195, 25))]) == [(0, 60, 60)]
+    assert spans([piece(0, 30), piece(31, 61)]) == [(0, 61, 60)]
+    assert spans([piece(0, 60, 48), piece(0, 60, 48, 2)]) == [(0, 60, 48)]
+
+
 def test_swapped_identities_do_not_matter():
     index = {t: i for i, t in enumerate([t for kind in toxicity.IDENTITIES for t in kind] + ["bad"])}
     x, y = np.zeros((80, len(index)), np.float32), np.zeros(80, np.float32)
