@@ -131,6 +131,22 @@ def test_passages_are_found_and_cut(spark):
     assert left == {1: 120, 2: 39, 3: 200}
 
 
+@pytest.mark.parametrize("decoys", [1, 12])
+def test_passages_whose_seeds_have_other_first_holders(spark, decoys):
+    """Decoys hold every five words of the passage, in another order, before its source does."""
+    rng = random.Random(decoys)
+    words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    passage = words(50)
+    rows = []
+    for i in range(decoys):
+        at = list(range(46))
+        rng.shuffle(at)
+        rows.append((i, " ".join(w for k in at for w in passage[k : k + 5] + words(40))))
+    rows += [(100, " ".join(words(20) + passage + words(20))), (200, " ".join(words(30) + passage + words(30)))]
+    found = substring.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [(r["doc_id"], r["start"], r["n_words"], r["source_id"], r["source_start"]) for r in found] == [(200, 30, 50, 100, 20)]
+
+
 def piece(a, b, m=None, src=1):
     return {"a": a, "b": b, "src": src, "s": a, "m": b - a if m is None else m, "w": np.arange(a, b, dtype=np.uint64).tobytes()}
 
