@@ -147,6 +147,21 @@ def test_passages_whose_seeds_have_other_first_holders(spark, decoys):
     assert [(r["doc_id"], r["start"], r["n_words"], r["source_id"], r["source_start"]) for r in found] == [(200, 30, 50, 100, 20)]
 
 
+def test_altered_passages_are_found(spark):
+    rng = random.Random(8)
+    words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    rows = []
+    for i in range(80):
+        passage = words(60)
+        altered = list(passage)
+        for at in sorted(rng.sample(range(60), 9), reverse=True):  # 15 of 100 words
+            altered[at : at + 1] = rng.choice([words(1), [], [altered[at], *words(1)]]) if i % 2 else words(1)
+        rows += [(2 * i, " ".join(words(40) + passage + words(40))), (2 * i + 1, " ".join(words(30) + altered + words(30)))]
+    found = substring.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(r["source_id"] == r["doc_id"] - 1 and 50 <= r["n_words"] <= 75 for r in found)
+    assert len({r["doc_id"] for r in found}) >= 70
+
+
 def piece(a, b, m=None, src=1):
     return {"a": a, "b": b, "src": src, "s": a, "m": b - a if m is None else m, "w": np.arange(a, b, dtype=np.uint64).tobytes()}
 
