@@ -47,7 +47,7 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
-    """doc_id, n (set size) and e (id of the set; null for an empty one)."""
+    """doc_id, n (set size), e (id of the set; null for an empty one) and k (hash of the text)."""
 
     def run(batches):
         for batch in batches:
@@ -58,11 +58,12 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
                         batch.column("doc_id").slice(start, len(part)).cast(pa.int64()),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([set_id(s) if len(s) else None for s in sets], pa.int64()),
+                        batch.column("k").slice(start, len(part)),
                     ],
-                    names=["doc_id", "n", "e"],
+                    names=["doc_id", "n", "e", "k"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, e long")
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("k")).mapInArrow(run, "doc_id long, n long, e long, k long")
 
 
 def frequency_classes(docs: DataFrame) -> np.ndarray:
@@ -284,13 +285,8 @@ def verify(docs: DataFrame, sets: DataFrame, pairs: DataFrame, percent: int) ->
     return whole.mapInArrow(check, "a long, b long")
 
 
-def jaccard_components(spark: SparkSession, docs: DataFrame, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles and component_id for every row of `docs` (doc_id, text).
-
-    A null or empty text has an empty set and is its own component. Rows with equal sets are linked;
-    repeated rows each get a row. The component of a row is the smallest id that is reachable.
-    Sets are told apart by a 64-bit hash, as are shingles.
-    """
+def set_components(spark: SparkSession, docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The sets of all rows (doc_id, n, e, k) and the components (node, comp) of the sets that link."""
     docs = docs.select("doc_id", "text")
     sets = settle(shingle_sets(docs), "sets")
     classes = spark.sparkContext.broadcast(frequency_classes(docs))  # 1 MB, whatever the corpus
@@ -326,7 +322,17 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, percent: int = 80)
     cross = settle(cross.join(pairs, ["a", "b"], "left_anti"), "cross")
     if not cross.isEmpty():
         comps = components(links.union(verify(docs, sets, cross, percent)))
+    return sets, comps
+
 
+def jaccard_components(spark: SparkSession, docs: DataFrame, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles and component_id for every row of `docs` (doc_id, text).
+
+    A null or empty text has an empty set and is its own component. Rows with equal sets are linked;
+    repeated rows each get a row. The component of a row is the smallest id that is reachable.
+    Sets are told apart by a 64-bit hash, as are shingles.
+    """
+    sets, comps = set_components(spark, docs, percent)
     first = sets.filter("e IS NOT NULL").groupBy("e").agg(F.min("doc_id").alias("first"))
     joined = first.join(comps, first.e == comps.node).groupBy("comp").agg(F.min("first").alias("low"))
     lows = comps.join(joined, "comp").select("node", "low")
@@ -337,13 +343,26 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, percent: int = 80)
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, percent: int = 80) -> DataFrame:
-    """The rows of `docs`, all columns, that stand for their component: the smallest id of each.
-    Of rows that repeat an id one stays."""
-    ids = settle(jaccard_components(spark, docs, percent), "components")
-    rest = ids.filter("doc_id <> component_id").select(F.col("doc_id").alias("id")).distinct()
-    kept = docs.join(rest.hint("shuffle_hash"), docs.doc_id == F.col("id"), "left_anti")
-    repeated = not ids.groupBy("doc_id").count().filter("count > 1").isEmpty()
-    return kept.dropDuplicates(["doc_id"]) if repeated else kept
+    """The rows of `docs`, all columns, that stand for their component of sets: one row of the smallest
+    id of each, one without an id only where no row has any. Rows are told apart by id and a 64-bit
+    hash of the text, so rows that share an id but do not link all stay, as do empty texts."""
+    sets, comps = set_components(spark, docs, percent)
+    rows = sets.filter("e IS NOT NULL").groupBy("doc_id", "k", "e").agg(F.count("*").alias("copies"))
+    named = rows.join(comps, rows.e == comps.node, "left").select("doc_id", "k", "copies", F.coalesce("comp", "e").alias("c"))
+    named = settle(named, "named")
+    lead = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k")).alias("lead")
+    leads = named.groupBy("c").agg(lead).select("c", F.col("lead.doc_id").alias("lead_id"), F.col("lead.k").alias("lead_k"))
+    stands = F.col("doc_id").eqNullSafe(F.col("lead_id")) & (F.col("k") == F.col("lead_k"))
+    judged = named.join(leads, "c").select(F.col("doc_id").alias("__id"), F.col("k").alias("__k"), (~stands).alias("__goes"), "copies")
+    judged = settle(judged.filter("__goes OR copies > 1"), "judged")
+    key = docs.doc_id.eqNullSafe(F.col("__id")) & (F.xxhash64(docs.text) == F.col("__k"))
+    kept = docs.join(judged.filter("__goes").hint("shuffle_hash"), key, "left_anti")
+    repeated = judged.filter("NOT __goes")
+    if repeated.isEmpty():
+        return kept
+    again = repeated.select("__id", "__k").hint("shuffle_hash")
+    once = kept.join(again, key, "left_semi").withColumn("__k", F.xxhash64("text")).dropDuplicates(["doc_id", "__k"]).drop("__k")
+    return kept.join(again, key, "left_anti").unionByName(once)
 
 
 ORACLE = r"""

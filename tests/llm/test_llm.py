@@ -174,6 +174,21 @@ def test_a_passage_stays_beside_short_shared_lines():
     assert spans([piece(0, 60, 48), piece(0, 60, 48, 2)]) == [(0, 60, 48)]
 
 
+def test_rows_without_an_own_id_are_judged_by_their_text(spark, tmp_path):
+    import corpus_pipeline
+
+    text = lambda c: " ".join(f"{c}{i}" for i in range(40))
+    rows = [(None, text("a")), (None, text("b")), (None, text("b")), (5, text("c")), (5, text("d")), (3, text("d") + " end"), (7, text("a")), (8, ""), (8, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = jaccard.keep_one(spark, docs).collect()
+    want = [(None, text("b")), (5, text("c")), (3, text("d") + " end"), (7, text("a")), (8, ""), (8, None)]
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+    items = [(1, " ".join(text("b").split()[5:20])), (2, " ".join(text("c").split()[5:20]))]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    left = corpus_pipeline.drop_contaminated(spark, docs, str(tmp_path)).collect()
+    assert sorted(map(tuple, left), key=str) == sorted((r for r in rows if r[1] not in (text("b"), text("c"))), key=str)
+
+
 def test_swapped_identities_do_not_matter():
     index = {t: i for i, t in enumerate([t for kind in toxicity.IDENTITIES for t in kind] + ["bad"])}
     x, y = np.zeros((80, len(index)), np.float32), np.zeros(80, np.float32)
