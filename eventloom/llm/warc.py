@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import scratch_dir
+from eventloom.llm.common import scratch_dir, settle
 
 VERSION = b"WARC/1.1\r\n"
 VERSIONS = re.compile(rb"WARC/1\.[01]\r\n")
@@ -300,21 +300,32 @@ def read_archives(files: DataFrame) -> DataFrame:
     return files.mapInArrow(run, schema)
 
 
+def complete(rows: DataFrame, records: int) -> DataFrame:
+    """The records among `rows` of read_archives, if there are as many as were written and no gaps;
+    else gaps are written to a table in the shared folder and the job fails."""
+    rows = settle(rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "note"), "warc-read")
+    gaps, found = rows.filter("record_type = 'gap'").select("note", "payload_bytes"), rows.filter("record_type <> 'gap'").drop("note")
+    read = found.count()
+    if read != records or not gaps.isEmpty():
+        table = settle(gaps, "warc-gaps").inputFiles()
+        raise ValueError(f"{records} records written, {read} read; gaps are in {table[:1]}")
+    return found
+
+
 def archive_pages(spark: SparkSession, pages: DataFrame, folder: str | None = None) -> DataFrame:
     """Write a record for every row of `pages` (page_id, url, html) and read the archives back:
     page_id, payload_bytes, payload_digest, record_type, refers_to.
 
     A null html is an empty payload; a null url an empty target. Rows that repeat the largest id of
     equal payloads are responses too; a row without an id is a revisit where a response with an id
-    exists. An empty table writes no archive and gives no rows.
+    exists. An empty table writes no archive and gives no rows. A record that cannot be read back is
+    logged and fails the job.
     """
     folder = folder or f"{scratch_dir(spark)}/eventloom/warc-{uuid.uuid4().hex}"
     written = write_archives(capture_plan(pages.select("page_id", "url", "html")), folder).collect()
     files = spark.createDataFrame([(r["path"],) for r in written], "path string")
     spread = files.repartition(max(1, len(written)))
-    return read_archives(spread).filter("record_type <> 'gap'").select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
-    )
+    return complete(read_archives(spread), sum(r["records"] for r in written))
 
 
 ORACLE = """

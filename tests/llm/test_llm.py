@@ -220,3 +220,17 @@ def test_salvage():
     got = list(warc.read_archive(io.BytesIO(data)))
     assert [x.headers["x-page-id"] for x in got if isinstance(x, warc.Record)] == ["0", "2", "3"]
     assert [(x.offset, x.length) for x in got if isinstance(x, warc.Gap)] == [(len(raws[0]), len(raws[1])), (len(raws[0] + raws[1] + raws[2]), 4)]
+
+
+def test_records_that_cannot_be_read_back_fail_the_job(spark, tmp_path):
+    row = lambda i: {"html": "h" * 2000 + str(i), "record_type": "response", "page_id": i, "url": "u", "refers_to": None}
+    raws = [bytearray(warc.member(warc.capture(row(i)))) for i in range(3)]
+    files = spark.createDataFrame([(f"file://{tmp_path}/x.warc.gz",)], "path string")
+    (tmp_path / "x.warc.gz").write_bytes(b"".join(raws))
+    assert warc.complete(warc.read_archives(files), 3).count() == 3
+    with pytest.raises(ValueError):
+        warc.complete(warc.read_archives(files), 4)
+    raws[1][40] ^= 255
+    (tmp_path / "x.warc.gz").write_bytes(b"".join(raws))
+    with pytest.raises(ValueError):
+        warc.complete(warc.read_archives(files), 3)
