@@ -18,6 +18,8 @@ NOT_ALNUM = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BLANKS = r"[\x20\x09-\x0D]+"
 
 
+#: Spark's setting that removes an execution's shuffle files when it ends.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Rows of an Arrow batch at most, so that long texts do not fill an executor.
 BATCH_ROWS = 1000
 
@@ -58,12 +60,28 @@ def scratch_dir(spark: SparkSession) -> str:
 
 def settle(df: DataFrame, label: str) -> DataFrame:
     """Write `df` to a table in the shared folder and read it back: lineage ends there, so a
-    lost executor costs only re-reading, and several consumers do not recompute the work."""
+    lost executor costs only re-reading, and several consumers do not recompute the work. Shuffle
+    files of the write go as soon as it ends; `discard` removes the table when nothing reads it."""
     spark = df.sparkSession
     small_batches(spark)
     path = f"{scratch_dir(spark)}/eventloom/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    was = spark.conf.get(CLEAN_UP)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, was)
+    held = spark.read.schema(df.schema).parquet(path)
+    held._settled_at = path
+    return held
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables that `settle` wrote and that no DataFrame still to be run reads."""
+    for held in tables:
+        spark, path = held.sparkSession, held._settled_at
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def ascii_lower(col: Column) -> Column:
