@@ -344,22 +344,26 @@ def open_pairs(rows: DataFrame, comps: DataFrame, tried: DataFrame, percent: int
     largest = sizes.groupBy("tok").agg(F.max(F.struct("m", "c")).alias("top"), F.count("*").alias("k")).filter("k > 1")
     several = settle(named.join(largest.select("tok", F.col("top.c").alias("top")), "tok"), "several")
     discard(named)
-    x, y = several.filter("c <> top").alias("x"), several.alias("y")
+    # Each row with all such tokens of its set, in the order of rarity, and its place j among them.
+    places = F.sort_array(F.collect_list(F.struct("pos", "tok", "top"))).alias("at")
+    whole = several.groupBy("e", "n", "c", *ORDERS).agg(places, (F.sum("w") - F.count("*")).alias("extra"))
+    rows = whole.select("e", "n", "c", *ORDERS, "extra", F.col("at.tok").alias("toks"), F.posexplode("at").alias("j", "row")).select("*", "row.*").drop("row", "at")
+    rows = settle(rows, "open-rows")
+    discard(several)
+    x, y = rows.filter("c <> top").alias("x"), rows.alias("y")
     once = (F.col("y.c") == F.col("y.top")) | (F.col("x.e") < F.col("y.e"))
     # The i-th common token of linked sets is at most at i + n - need in each, so `need` less the sure
     # part of the larger set's rest lie in both prefixes. A pair that meets in a small bucket was
-    # tried; any other meets in large buckets only, once in each, so that many times here.
+    # tried; any other meets in buckets of `several` only, in so many, and in the first of them that
+    # many less one of each set's tokens still follow.
     n1, n2 = F.col("x.n").cast("long"), F.col("y.n").cast("long")
-    meetings = needed(n1, n2, percent) + F.floor(-percent * F.greatest(n1, n2) / 100) + 1
-    pairs = (
-        x.join(y, (F.col("x.tok") == F.col("y.tok")) & (F.col("x.c") != F.col("y.c")) & once & may_link("x", "y", percent))
-        .groupBy(F.least("x.e", "y.e").alias("a"), F.greatest("x.e", "y.e").alias("b"))
-        .agg(F.sum(F.least("x.w", "y.w")).alias("met"), F.max(meetings).alias("least"))
-        .filter("met >= least")
-        .select("a", "b")
-    )
+    meetings = needed(n1, n2, percent) + F.floor(-percent * F.greatest(n1, n2) / 100) + 1 - F.least("x.extra", "y.extra")
+    early = (F.col("x.j") + meetings <= F.size("x.toks")) & (F.col("y.j") + meetings <= F.size("y.toks"))
+    often = F.size(F.array_intersect("x.toks", "y.toks")) >= meetings
+    near = (F.col("x.tok") == F.col("y.tok")) & (F.col("x.c") != F.col("y.c")) & once & may_link("x", "y", percent) & early & often
+    pairs = x.join(y, near).select(F.least("x.e", "y.e").alias("a"), F.greatest("x.e", "y.e").alias("b")).distinct()
     pairs = settle(pairs.join(tried, ["a", "b"], "left_anti"), "cross")
-    discard(several)
+    discard(rows)
     return pairs
 
 
