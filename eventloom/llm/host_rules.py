@@ -1,8 +1,10 @@
 """Host-level quality rules (DataFrame operators only).
 
-Every text gets base counts and a base verdict. Failures are then counted by host, the hosts' rates
-are shrunk towards an empirical beta prior fitted over all hosts by moments, and hosts whose shrunk
-rate reaches the limit lose their remaining documents too.
+Every text gets base counts and a base verdict. Failures are then counted by host and the hosts' rates
+are shrunk towards an empirical beta prior fitted over all hosts by moments. A host is rejected, and
+loses its remaining documents too, where even the lower bound of its shrunk rate (SURE posterior
+standard deviations below) lies APART of the prior's standard deviations above its mean and reaches
+LEAST_RATE. Where all hosts fail alike, none is an outlier and none is rejected.
 """
 
 from __future__ import annotations
@@ -14,8 +16,8 @@ from eventloom.llm.common import settle, split_words
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
-#: A host is rejected when its shrunk failure rate reaches this.
-HOST_LIMIT = 0.5
+#: Posterior and prior standard deviations of the bounds, and the rate of failures below which no host is rejected.
+SURE, APART, LEAST_RATE = 2.0, 1.0, 0.25
 #: Host tables up to so many rows are broadcast; beyond, joined by shuffle.
 BROADCAST_HOSTS = 500_000
 
@@ -80,44 +82,41 @@ def base_counts(docs: DataFrame) -> DataFrame:
     )
 
 
-def host_verdicts(counted: DataFrame, limit: float = HOST_LIMIT) -> DataFrame:
-    """host, n_docs, n_failed, shrunk_rate, host_rejected. The prior Beta(a, b) has the mean and, by
-    moments over the hosts, the spread of the hosts' rates, less what binomial noise explains; with
-    one host, or no spread, it weighs as much as the documents of a mean host."""
-    hosts = (
+def host_verdicts(counted: DataFrame, least_rate: float = LEAST_RATE) -> DataFrame:
+    """host, n_docs, n_failed, shrunk_rate, lower, upper, host_rejected. The prior Beta(a, b) has the mean
+    and, by moments over the hosts, the spread of the hosts' rates, less what binomial noise explains;
+    with one host, or no spread, it weighs as much as the documents of a mean host."""
+    hosts = settle(
         counted.filter(F.col("host").isNotNull())
         .groupBy("host")
-        .agg(F.count("*").alias("n_docs"), F.sum(F.col("base_failed").cast("long")).alias("n_failed"))
+        .agg(F.count("*").alias("n_docs"), F.sum(F.col("base_failed").cast("long")).alias("n_failed")),
+        "host-counts",
     )
     rate = F.col("n_failed") / F.col("n_docs")
-    prior = hosts.agg(
-        F.avg(rate).alias("m"),
-        F.var_pop(rate).alias("v"),
-        F.avg(1 / F.col("n_docs")).alias("inv"),
-        F.avg("n_docs").alias("mean_docs"),
-    )
-    spread = F.col("m") * (1 - F.col("m"))
-    extra = F.greatest(F.col("v") - spread * F.col("inv"), F.lit(0.0))
-    weight = F.when(extra > 0, F.greatest(spread / extra - 1, F.lit(1.0))).otherwise(F.col("mean_docs"))
-    prior = prior.select("m", F.coalesce(weight, F.lit(1.0)).alias("weight"))
-    shrunk = (F.col("n_failed") + F.col("m") * F.col("weight")) / (F.col("n_docs") + F.col("weight"))
-    # The prior is one row, so this join only appends two constants.
-    return hosts.join(F.broadcast(prior)).select(
-        "host", "n_docs", "n_failed", shrunk.alias("shrunk_rate"), (shrunk >= limit).alias("host_rejected")
-    )
+    moments = hosts.agg(F.avg(rate).alias("m"), F.var_pop(rate).alias("v"), F.avg(1 / F.col("n_docs")).alias("inv"), F.avg("n_docs").alias("mean_docs"))
+    m, v, inv, mean_docs = (0.0 if x is None else x for x in moments.first())  # one row, of four numbers
+    extra = v - m * (1 - m) * inv
+    weight = max(m * (1 - m) / extra - 1, 1.0) if extra > 0 else mean_docs
+    upper = m + APART * (m * (1 - m) / (weight + 1)) ** 0.5
+    shrunk = (F.col("n_failed") + F.lit(m * weight)) / (F.col("n_docs") + F.lit(weight))
+    lower = F.col("shrunk_rate") - SURE * F.sqrt(F.col("shrunk_rate") * (1 - F.col("shrunk_rate")) / (F.col("n_docs") + F.lit(weight) + 1))
+    judged = hosts.withColumn("shrunk_rate", shrunk).withColumn("lower", lower).withColumn("upper", F.lit(upper))
+    return judged.withColumn("host_rejected", F.col("lower") >= F.greatest("upper", F.lit(least_rate)))
 
 
 def apply_host_rules(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source", limit: float = HOST_LIMIT
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source", least_rate: float = LEAST_RATE
 ) -> DataFrame:
     """Base counts, base_failed and kept for every row of `docs`.
 
-    A null text has no words and fails the base rule. Documents without a host are judged by the
-    base rule alone. Repeated rows count as often as they occur; further columns are ignored.
+    A null text has no words and fails the base rule, as an empty one does. Documents without a host
+    are judged by the base rule alone. Repeated rows count as often as they occur; an empty table
+    gives an empty result, very long texts are counted whole, and further columns are ignored.
+    Windows of a text are told apart by a 64-bit hash.
     """
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(host).alias("host"))
     counted = settle(base_counts(docs), "base-counts")
-    verdicts = settle(host_verdicts(counted, limit), "hosts")
+    verdicts = settle(host_verdicts(counted, least_rate), "hosts")
     rejected = verdicts.filter("host_rejected").select(F.col("host").alias("h"))
     if rejected.count() <= BROADCAST_HOSTS:
         rejected = F.broadcast(rejected)
@@ -141,7 +140,8 @@ f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_fail
 h AS (SELECT source, count(*) AS n, count(*) FILTER (base_failed) AS k FROM f WHERE source IS NOT NULL GROUP BY source),
 m AS (SELECT avg(k / n) AS m, var_pop(k / n) AS v, avg(1 / n) AS inv, avg(n) AS mean_docs FROM h),
 p AS (SELECT m, CASE WHEN v - m * (1 - m) * inv > 0 THEN greatest(m * (1 - m) / (v - m * (1 - m) * inv) - 1, 1.0) ELSE mean_docs END AS wt FROM m),
-bad AS (SELECT source FROM h, p WHERE (k + m * wt) / (n + wt) >= 0.5)
+s AS (SELECT source, n, (k + m * wt) / (n + wt) AS s, wt, m + 1 * sqrt(m * (1 - m) / (wt + 1)) AS upper FROM h, p),
+bad AS (SELECT source FROM s WHERE s - 2 * sqrt(s * (1 - s) / (n + wt + 1)) >= greatest(upper, 0.25))
 SELECT doc_id, n_words, word_chars, n_symbols, CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, n_repeat_words,
        base_failed, NOT base_failed AND (source IS NULL OR source NOT IN (SELECT source FROM bad)) AS kept
 FROM f
