@@ -84,6 +84,14 @@ def discard(*tables: DataFrame) -> None:
         place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def spare(df: DataFrame, name: str) -> str:
+    """`name`, with underscores before it until `df` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def ascii_lower(col: Column) -> Column:
     """Lower-case A-Z only. Pure-ASCII texts take the fast built-in, which is the same there."""
     ascii_only = F.length(col) == F.octet_length(col)

@@ -27,7 +27,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import discard, settle
+from eventloom.llm.common import discard, settle, spare
 from eventloom.llm.components import components
 from eventloom.llm.shingles import mix, set_id, shingle_set
 from eventloom.llm.tokens import slices
@@ -472,8 +472,9 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, percent: int = 80)
     """doc_id, n_shingles and component_id for every row of `docs` (doc_id, text).
 
     A null or empty text has an empty set and is its own component. Rows with equal sets are linked;
-    repeated rows each get a row. The component of a row is the smallest id that is reachable.
-    Sets are told apart by a 64-bit hash, as are shingles.
+    repeated rows each get a row. The component of a row is the smallest id that is reachable; a pair
+    exactly at the threshold links. Sets are told apart by a 64-bit hash, as are shingles. Very long
+    texts count whole, an empty table gives an empty result, and further columns are ignored.
     """
     sets, comps = set_components(spark, docs, percent)
     first = sets.filter("e IS NOT NULL").groupBy("e").agg(F.min("doc_id").alias("first"))
@@ -488,7 +489,8 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, percent: int = 80)
 def keep_one(spark: SparkSession, docs: DataFrame, percent: int = 80) -> DataFrame:
     """The rows of `docs`, all columns, that stand for their component of sets: one row of the smallest
     id of each, one without an id only where no row has any. Rows are told apart by id and a 64-bit
-    hash of the text, so rows that share an id but do not link all stay, as do empty texts."""
+    hash of the text, so rows that share an id but do not link all stay, as do empty and null texts. Of
+    equal rows one stays. Very long texts are compared whole; an empty table stays empty."""
     sets, comps = set_components(spark, docs, percent)
     rows = sets.filter("e IS NOT NULL").groupBy("doc_id", "k", "e").agg(F.count("*").alias("copies"))
     named = rows.join(comps, rows.e == comps.node, "left").select("doc_id", "k", "copies", F.coalesce("comp", "e").alias("c"))
@@ -496,15 +498,17 @@ def keep_one(spark: SparkSession, docs: DataFrame, percent: int = 80) -> DataFra
     lead = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k")).alias("lead")
     leads = named.groupBy("c").agg(lead).select("c", F.col("lead.doc_id").alias("lead_id"), F.col("lead.k").alias("lead_k"))
     stands = F.col("doc_id").eqNullSafe(F.col("lead_id")) & (F.col("k") == F.col("lead_k"))
-    judged = named.join(leads, "c").select(F.col("doc_id").alias("__id"), F.col("k").alias("__k"), (~stands).alias("__goes"), "copies")
-    judged = settle(judged.filter("__goes OR copies > 1"), "judged")
-    key = docs.doc_id.eqNullSafe(F.col("__id")) & (F.xxhash64(docs.text) == F.col("__k"))
-    kept = docs.join(judged.filter("__goes").hint("shuffle_hash"), key, "left_anti")
-    repeated = judged.filter("NOT __goes")
+    mine, of, goes = (spare(docs, x) for x in ("__id", "__k", "__goes"))
+    judged = named.join(leads, "c").select(F.col("doc_id").alias(mine), F.col("k").alias(of), (~stands).alias(goes), "copies")
+    judged = settle(judged.filter(F.col(goes) | (F.col("copies") > 1)).drop("copies"), "judged")
+    discard(named, comps)
+    key = docs.doc_id.eqNullSafe(F.col(mine)) & (F.xxhash64(docs.text) == F.col(of))
+    kept = docs.join(judged.filter(F.col(goes)).hint("shuffle_hash"), key, "left_anti")
+    repeated = judged.filter(~F.col(goes))
     if repeated.isEmpty():
         return kept
-    again = repeated.select("__id", "__k").hint("shuffle_hash")
-    once = kept.join(again, key, "left_semi").withColumn("__k", F.xxhash64("text")).dropDuplicates(["doc_id", "__k"]).drop("__k")
+    again = repeated.select(mine, of).hint("shuffle_hash")
+    once = kept.join(again, key, "left_semi").withColumn(of, F.xxhash64("text")).dropDuplicates(["doc_id", of]).drop(of)
     return kept.join(again, key, "left_anti").unionByName(once)
 
 

@@ -119,6 +119,63 @@ def test_packing_pattern_counts():
     assert back == histogram
 
 
+def test_shortest_pack_first():
+    """Whole counts give what placing one piece after another into the pack filled least gives."""
+    rng = random.Random(2)
+    for _ in range(30):
+        histogram = {rng.randrange(1, 41): rng.randrange(1, 12) for _ in range(rng.randrange(1, 12))}
+        packs = []
+        for length in sorted((n for n, c in histogram.items() for _ in range(c)), reverse=True):
+            least = min(packs, key=sum, default=[])
+            if not least or sum(least) + length > 40:
+                packs.append([length])
+            else:
+                least.append(length)
+        got = [tuple(lengths) for c, lengths in packing.pack_histogram(histogram, 40) for _ in range(c)]
+        assert sorted(map(sum, got)) == sorted(map(sum, packs))
+
+
+def test_packing_of_whole_texts(spark):
+    """Every id lies in one piece, checksums and places are right, and little is padded."""
+    import zlib
+
+    path = tokens.default_tokenizer()
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").unionByName(edge_docs(spark).drop("tok"))
+    texts = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    library = tokens.encoder(path).library
+    want = sorted(((i, library.encode(t or "", add_special_tokens=False).ids + [2]) for i, t in texts), key=str)
+    got = packing.pack(docs, path, 512).collect()
+    pieces = sorted((str(i), s, len(ids[s : s + 512]), zlib.crc32(np.array(ids[s : s + 512], "<u4").tobytes()), len(ids)) for i, ids in want for s in range(0, len(ids), 512))
+    assert pieces == sorted((str(r["doc_id"]), r["start"], r["length"], r["ids_crc32"], r["doc_tokens"]) for r in got)
+    ends: dict[int, int] = {}
+    for r in sorted(got, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert ends.get(r["sequence_id"], 0) == r["offset"]
+        ends[r["sequence_id"]] = r["offset"] + r["length"]
+    assert max(ends.values()) <= 512 and sorted(ends) == list(range(len(ends)))
+    assert sum(ends.values()) > 0.97 * 512 * (len(ends) - 1)
+
+
+def test_one_bad_host_is_rejected(spark):
+    """A host that fails far more often than others loses its sound documents; a small one is spared."""
+    good, bad = "one two three four five six seven eight nine ten eleven", "too short"
+    rows = [(1000 * h + i, bad if (i % 5 < 2 if h == 3 else i % 10 == 0) else good, f"h{h}", "x") for h in range(12) for i in range(200)]
+    rows += [(90000 + i, bad if i < 1 else good, "tiny", "x") for i in range(2)]
+    rows += [(91000, good, None, "x"), (91001, None, "h3", "x"), (None, good, "h1", "x"), (91002, good, "h1", "x"), (91002, good, "h1", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, h string")
+    got = host_rules.apply_host_rules(docs)
+    lost = got.filter("NOT base_failed AND NOT kept").count()
+    assert lost == 120 and got.count() == len(rows)
+    frame = docs.toPandas()  # noqa: F841
+    con = duckdb.connect()
+    con.register("documents", frame)
+    want = con.sql(host_rules.ORACLE).df()
+    cells = lambda df: sorted(tuple(map(str, r)) for r in df[["n_words", "base_failed", "kept"]].values.tolist())
+    assert cells(got.toPandas()) == cells(want)
+    same = docs.filter("source IN ('h1', 'h2', 'h4') OR source IS NULL")
+    assert host_rules.apply_host_rules(same).filter("NOT base_failed AND NOT kept").count() == 0
+    assert host_rules.apply_host_rules(docs.limit(0)).count() == 0
+
+
 def test_passages_are_found_and_cut(spark):
     rng = random.Random(5)
     words = lambda n: ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n)]
@@ -163,7 +220,7 @@ def test_altered_passages_are_found(spark):
 
 
 def piece(a, b, m=None, src=1):
-    return {"a": a, "b": b, "src": src, "s": a, "m": b - a if m is None else m, "w": np.arange(a, b, dtype=np.uint64).tobytes()}
+    return {"a": a, "b": b, "src": src, "s": a, "m": b - a if m is None else m}
 
 
 def test_a_passage_stays_beside_short_shared_lines():
@@ -180,11 +237,14 @@ def test_rows_without_an_own_id_are_judged_by_their_text(spark, tmp_path):
     text = lambda c: " ".join(f"{c}{i}" for i in range(40))
     rows = [(None, text("a")), (None, text("b")), (None, text("b")), (5, text("c")), (5, text("d")), (3, text("d") + " end"), (7, text("a")), (8, ""), (8, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
+    clash = docs.selectExpr("*", "1 AS id", "2 AS __id", "3 AS __k", "4 AS k", "5 AS e", "6 AS __cuts", "7 AS item")
+    assert jaccard.keep_one(spark, clash).columns == clash.columns and substring.cut_passages(clash).count() == len(rows)
     got = jaccard.keep_one(spark, docs).collect()
     want = [(None, text("b")), (5, text("c")), (3, text("d") + " end"), (7, text("a")), (8, ""), (8, None)]
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
     items = [(1, " ".join(text("b").split()[5:20])), (2, " ".join(text("c").split()[5:20]))]
     spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.drop_contaminated(spark, clash, str(tmp_path)).count() == 6
     left = corpus_pipeline.drop_contaminated(spark, docs, str(tmp_path)).collect()
     assert sorted(map(tuple, left), key=str) == sorted((r for r in rows if r[1] not in (text("b"), text("c"))), key=str)
 
