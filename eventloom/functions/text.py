@@ -6,6 +6,8 @@ token_set_ratio), whose semantics the built-ins lack.
 
 from __future__ import annotations
 
+import re
+
 import html
 from html.parser import HTMLParser
 
@@ -85,21 +87,25 @@ def token_jaccard(a, b) -> Column:
     return F.when(union > 0, F.size(F.array_intersect(_col(a), _col(b))) / union).otherwise(F.lit(0.0))
 
 
+def _title_words(c) -> Column:
+    """Words of a title without the punctuation around them, with their kind: # has a digit, @ is a name."""
+    edge = "[" + re.escape(vocab.TITLE_STRIP) + "]+"
+    words = F.filter(F.split(blank(c), r"(?U)\s+"), lambda w: w != "")
+    bare = F.transform(words, lambda w: F.regexp_replace(w, f"^{edge}|{edge}$", ""))
+    return F.transform(bare, lambda w: F.struct(w.alias("w"), F.when(w.rlike(r"(?U)\d"), "#").when(w.rlike(vocab.NAME_WORD), "@").otherwise("").alias("kind")))
+
+
 def skeleton(c) -> Column:
-    """Title template: words with a digit are #, capitalised words and codes @ (runs collapse),
-    others lower case."""
-    words = F.filter(F.split(F.trim(blank(c)), r"\s+"), lambda w: w != "")
-    marks = F.transform(
-        words, lambda w: F.when(w.rlike(r"\d"), F.lit("#")).when(w.rlike(r"^[^A-Za-z]*[A-Z]"), F.lit("@")).otherwise(F.lower(w))
-    )
-    kept = F.filter(marks, lambda m, i: ~((m == "@") & (F.coalesce(F.get(marks, i - 1), F.lit("")) == "@")))
-    return F.array_join(kept, " ")
+    """Title template: words with a digit are #, runs of names and codes one @, others lower case."""
+    words = _title_words(c)
+    run = lambda w, i: (w["kind"] == "@") & (F.coalesce(F.get(words, i - 1)["kind"], F.lit("")) == "@")
+    kept = F.filter(words, lambda w, i: ~run(w, i))
+    return F.array_join(F.transform(kept, lambda w: F.when(w["kind"] == "", F.lower(w["w"])).otherwise(w["kind"])), " ")
 
 
 def subjects(c) -> Column:
-    """The words that a skeleton replaces by @, in lower case and joined: the subject of a title."""
-    words = F.split(F.trim(blank(c)), r"\s+")
-    return F.array_join(F.transform(F.filter(words, lambda w: ~w.rlike(r"\d") & w.rlike(r"^[^A-Za-z]*[A-Z]")), F.lower), " ")
+    """The names that a skeleton replaces by @, in lower case and joined: the subject of a title."""
+    return F.array_join(F.transform(F.filter(_title_words(c), lambda w: w["kind"] == "@"), lambda w: F.lower(w["w"])), " ")
 
 
 def title_key(c, length: int = 60) -> Column:
@@ -149,13 +155,14 @@ def snippet(c, limit: int = 200) -> Column:
 
 
 def title_pattern(name) -> Column:
-    """A pattern of a company's first two words without company suffixes; '' under four letters."""
-    suffix = r"(?i)([,.\s]+(inc|incorporated|corp|corporation|co|company|ltd|limited|plc|llc|lp|sa|ag|nv|group|holdings?)\.?)+\s*$"
-    words = F.filter(F.split(F.trim(F.regexp_replace(blank(name), suffix, "")), r"\s+"), lambda w: w != "")
-    two = F.transform(F.slice(words, 1, 2), lambda w: F.regexp_replace(w, r"([^A-Za-z0-9])", r"\\$1"))
-    pattern = F.array_join(two, r"\s+")
-    letters = F.length(F.regexp_replace(F.array_join(F.slice(words, 1, 2), ""), "[^A-Za-z]", ""))
-    return F.when(letters >= 4, pattern).otherwise("")
+    """A pattern of a company's first two words without the ends of company names, however many follow
+    each other; '' under four characters. A name that is such an end and nothing else stays."""
+    bare = F.regexp_replace(blank(name), r"(?U)^\s+|\s+$", "")
+    one = vocab.NAME_SUFFIX.removeprefix("(?i)").removesuffix("$")
+    stripped = F.regexp_replace(bare, rf"(?i)^(.*?\S)(?:{one}\s*)+$", "$1")
+    words = F.slice(F.filter(F.split(stripped, r"(?U)\s+"), lambda w: w != ""), 1, 2)
+    pattern = F.array_join(F.transform(words, lambda w: F.regexp_replace(w, r"([^\p{L}\p{N}_])", r"\\$1")), r"\s+")
+    return F.when(F.length(F.array_join(words, "")) >= 4, pattern).otherwise("")
 
 
 def related_code(c) -> Column:
@@ -170,10 +177,12 @@ def json_text(c) -> Column:
 
 
 def literal_dict(c) -> Column:
-    """A map from JSON or from a Python literal with single quotes; null if neither parses."""
+    """A map from JSON or from a Python literal with single quotes; null if neither parses. Quotes are
+    taken for quotes beside brackets, commas and colons only, so apostrophes inside stay."""
     kind = "map<string,string>"
     strict = F.when(F.try_parse_json(_col(c)).isNotNull(), F.from_json(_col(c), kind))
-    swapped = F.replace(F.regexp_replace(F.regexp_replace(_col(c), r"\bNone\b", "null"), r"\bTrue\b", "true"), F.lit("'"), F.lit('"'))
+    named = F.regexp_replace(F.regexp_replace(F.regexp_replace(_col(c), r"\bNone\b", "null"), r"\bTrue\b", "true"), r"\bFalse\b", "false")
+    swapped = F.regexp_replace(named, r"(?<=[{\[,:]\s{0,3})'|'(?=\s{0,3}[}\],:])", '"')
     return F.coalesce(strict, F.when(F.try_parse_json(swapped).isNotNull(), F.from_json(swapped, kind)))
 
 

@@ -9,6 +9,7 @@ REGIONS = ("NorthAmerica", "Europe", "Asia-Pacific", "Middle-East", "LatinAmeric
 TRACKING_KEYS = ("cmpid", "fbclid", "gclid", "igshid", "mc_cid", "mc_eid", "mod", "r", "ref", "ref_src")
 FEED_PATHS = ("/arc/outboundfeeds/", "/lineup-next/api/", "/market-news")
 LIST_KEYS = ("outputtype", "pagenumber", "limit")
+SITEMAPS = ("/sitemap", "news-sitemap")
 
 # Fixed values of title tokens.
 STOP_WORDS = (
@@ -57,6 +58,15 @@ SIGNALS = {
     "rsi_overbought": r"\brsi\b.*\boverbought\b|\boverbought\b.*\brsi\b",
     "rsi_oversold": r"\brsi\b.*\boversold\b|\boversold\b.*\brsi\b",
 }
+# Fixed values of title templates: what is stripped from words, and what counts as a name.
+TITLE_STRIP = "(),:;\"'“”|"
+NAME_WORD = r"^[A-Z][A-Za-z.&'’\-]*$|^[A-Z0-9.\-]{2,8}$"
+# Fixed values of related search: ends of company names, and categories by type of record.
+NAME_SUFFIX = r"(?i),?\s+(Inc|Corp|Corporation|Company|Co|Ltd|LLC|plc|Group|Holdings?|Technologies|Therapeutics|Pharmaceuticals|Financial|Services)\.?$"
+CATEGORIES = {
+    "US_NEWS": "News", "US_FLASH": "Flash", "US_ROBOT": "Robot", "US_POST": "Post", "US_ARTICLE": "Article",
+    "report": "Report", "teleconference": "teleconference",
+}
 PREFERRED_SOURCES = ("reuters", "bloomberg", "wall street journal", "cnbc", "financial times", "marketwatch", "pr newswire", "business wire", "nasdaq", "ainvest wire")
 # Fixed value of the filing item line.
 ITEM = r"\bItem\s+(\d\.\d{2})\.?\s+([A-Z][A-Za-z0-9 ,;’'\-/&()]+?)(?=\s+(?:On\b|The\b|As\b|In\b|Pursuant\b|\d{4})|[.\n]|$)"

@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventloom.functions import text as T
-
-CATEGORIES = {"US_NEWS": "News", "US_FLASH": "Flash", "US_ROBOT": "Robot", "US_POST": "Post", "US_ARTICLE": "Article"}
+from eventloom.functions import vocab
 
 
 def related(events: DataFrame, index: DataFrame, before: int = 3, after: int = 1, most: int = 10) -> DataFrame:
@@ -16,11 +15,9 @@ def related(events: DataFrame, index: DataFrame, before: int = 3, after: int = 1
     neither needs a nested loop over all pairs. events: event_id, event_date, symbols, pattern."""
     days = events.select("*", F.explode(F.sequence(F.date_sub(F.col("event_date").cast("date"), before), F.date_add(F.col("event_date").cast("date"), after))).alias("day"))
     rows = index.filter("pub_date <> ''").withColumn("day", F.col("pub_date").cast("date"))
-    kind = F.lit("News")
-    for code, name in CATEGORIES.items():
-        kind = F.when(F.col("content_type") == code, F.lit(name)).otherwise(kind)
+    kinds = F.create_map(*[F.lit(x) for pair in vocab.CATEGORIES.items() for x in pair])
     columns = ["event_id", "id", "published_at", "title", "category"]
-    rows = rows.withColumn("category", kind)
+    rows = rows.withColumn("category", kinds[F.col("content_type")]).filter("category IS NOT NULL")  # other types are not searched
     by_symbol = days.select("event_id", "day", F.explode("symbols").alias("sym")).join(rows.withColumn("sym", F.explode(F.split("symbols", ","))), ["day", "sym"])
     by_title = days.filter("pattern <> ''").select("event_id", "day", "pattern").join(rows, "day").filter(F.rlike("title", F.concat(F.lit(r"(?i)\b"), "pattern", F.lit(r"\b"))))
     found = by_symbol.select(columns).union(by_title.select(columns)).distinct()

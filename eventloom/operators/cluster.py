@@ -80,7 +80,8 @@ def merge_overlapping(members: DataFrame, share: float = OVERLAP) -> DataFrame:
 def event_stats(members: DataFrame) -> DataFrame:
     """Statistics of events over members with event_id, id, source_name, content_type, pub_date,
     importance, track, title, body_len. Ties: earliest day, then the smallest id."""
-    one = members.dropDuplicates(["event_id", "id"])
+    rest = F.struct("title", "source_name", "content_type", "pub_date", "importance", "track", "body_len")
+    one = members.groupBy("event_id", "id").agg(F.min(rest).alias("m")).select("event_id", "id", "m.*")  # of rows that repeat an id the least
     return one.groupBy("event_id").agg(
         F.count("*").alias("n_articles"), F.countDistinct("source_name").alias("n_sources"), F.countDistinct("content_type").alias("n_content_types"),
         F.min("pub_date").alias("first_date"), F.max("pub_date").alias("last_date"), F.mode("pub_date", True).alias("peak_date"),
@@ -100,5 +101,7 @@ def corroboration(symbols: DataFrame, stats: DataFrame, reactions: DataFrame, be
     """(event_id, n_v2_reactions): distinct documents on a symbol of the event from `before` days
     ahead of its peak to `after` days past it, for events of two articles and more."""
     e = symbols.join(stats.filter("n_articles >= 2").select("event_id", F.col("peak_date").cast("date").alias("peak")), "event_id")
-    hit = e.join(reactions, "sym").filter(F.col("d").between(F.date_sub("peak", before), F.date_add("peak", after)))
+    days = F.sequence(F.date_sub("peak", before), F.date_add("peak", after))
+    # Each day is a row, so the join is on symbol and day and does not form a symbol's whole history.
+    hit = e.select("event_id", "sym", F.explode(days).alias("d")).join(reactions.withColumn("d", F.col("d").cast("date")), ["sym", "d"])
     return hit.groupBy("event_id").agg(F.countDistinct("doc_id").alias("n_v2_reactions"))

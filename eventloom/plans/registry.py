@@ -134,22 +134,37 @@ def a03_counts(spark, d):
 TRACK = "[" + ", ".join(f"'{k}'" for k in vocab.TRACKING_KEYS) + "]"
 
 
-@_query(rf"""WITH p AS (SELECT page_id, regexp_extract(url, '^(https?)://', 1) AS scheme, lower(regexp_extract(url, '^https?://([^/?#]+)', 1)) AS host,
-  regexp_replace(regexp_extract(url, '^https?://[^/?#]+([^?#]*)', 1), '/+$', '') AS path,
-  list_sort(list_filter(string_split(regexp_extract(url, '\?([^#]*)', 1), '&'), lambda q: contains(q, '=') AND NOT starts_with(q, 'utm_')
-    AND NOT list_contains({TRACK}, string_split(q, '=')[1]))) AS q FROM pages)
-SELECT page_id, host, scheme || '://' || host || CASE WHEN path = '' THEN '/' ELSE path END || CASE WHEN len(q) > 0 THEN '?' || array_to_string(q, '&') ELSE '' END AS normal FROM p""")
+#: What the URL queries append to pages' URLs, by page_id % 4: blank, missing, coded and tracking parameters, list queries, look-alikes.
+ENDINGS = ("?b=2&a=&flag&utm_source=x&REF=y&c=%7Ehi+there%2A%26", "/market-news/1?x=1", "/a/?LIMIT=", "/my-sitemap-guide.html?q=1%202#t")
+MORE = ("", "/sitemap.xml", "/x/news-sitemap1", "")
+
+
+def _urls(spark, d):
+    p = _read(spark, d, "pages")
+    made = lambda ends, by: F.element_at(F.array(*[F.lit(x) for x in ends]), (by % len(ends) + 1).cast("int"))
+    base = F.regexp_replace("url", "[?#].*$", "")
+    return p.select("page_id", F.when(F.col("page_id") % 5 == 0, F.concat(base, made(MORE, F.col("page_id")))).otherwise(F.concat(base, made(ENDINGS, F.col("page_id")))).alias("u"))
+
+
+URLS = f"""urls AS (SELECT page_id, regexp_replace(url, '[?#].*$', '') || CASE WHEN page_id % 5 = 0 THEN {list(MORE)}[page_id % 4 + 1] ELSE {list(ENDINGS)}[page_id % 4 + 1] END AS u FROM pages),
+cut AS (SELECT page_id, u, regexp_extract(u, '^([A-Za-z]+)://([^/?#]+)([^?#]*)', ['scheme', 'host', 'path']) AS x, regexp_extract(u, '\\?([^#]*)', 1) AS q FROM urls),
+pairs AS (SELECT page_id, url_decode(replace(string_split(t, '=')[1], '+', ' ')) AS k, url_decode(replace(coalesce(array_to_string(string_split(t, '=')[2:], '='), ''), '+', ' ')) AS v
+  FROM (SELECT page_id, unnest(string_split(q, '&')) AS t FROM cut) WHERE t <> '')"""
+
+
+@_query(rf"""WITH {URLS}, kept AS (SELECT page_id, string_agg(replace(url_encode(k), '%20', '+') || '=' || replace(url_encode(v), '%20', '+'), '&' ORDER BY k, v) AS q
+  FROM pairs WHERE NOT starts_with(lower(k), 'utm_') AND NOT list_contains({TRACK}, lower(k)) GROUP BY page_id)
+SELECT page_id, lower(x.host) AS host, lower(x.scheme) || '://' || lower(x.host) || CASE WHEN x.path IN ('', '/') THEN '/' ELSE rtrim(x.path, '/') END || coalesce('?' || kept.q, '') AS normal
+FROM cut LEFT JOIN kept USING (page_id)""")
 def f02_normal_urls(spark, d):
-    return _read(spark, d, "pages").select("page_id", urls.host("url").alias("host"), urls.normalize_url("url").alias("normal"))
+    return _urls(spark, d).select("page_id", urls.host("u").alias("host"), urls.normalize_url("u").alias("normal"))
 
 
-@_query("""SELECT page_id, CASE WHEN contains(lower(u), '/market-news') OR contains(lower(u), '/arc/outboundfeeds/') OR contains(lower(u), '/lineup-next/api/') THEN 'feed_or_api_path'
-  WHEN contains(lower(u), 'sitemap') THEN 'sitemap_url' WHEN regexp_matches(u, '[?&](limit|pagenumber|outputtype)=') THEN 'feed_or_list_query' END AS reason
-  FROM (SELECT page_id, CASE page_id % 4 WHEN 1 THEN 'https://x.com/market-news/' || page_id WHEN 2 THEN 'https://x.com/a?limit=5' WHEN 3 THEN 'https://x.com/sitemap.xml' ELSE url END AS u FROM pages)""")
+@_query(rf"""WITH {URLS} SELECT page_id, CASE WHEN regexp_matches(lower(x.path), '/market-news|/arc/outboundfeeds/|/lineup-next/api/') THEN 'feed_or_api_path'
+  WHEN regexp_matches(lower(x.path), '/sitemap|news-sitemap') THEN 'sitemap_url'
+  WHEN page_id IN (SELECT page_id FROM pairs WHERE lower(k) IN ('limit', 'pagenumber', 'outputtype')) THEN 'feed_or_list_query' END AS reason FROM cut""")
 def f03_url_rejects(spark, d):
-    p = _read(spark, d, "pages")
-    made = F.when(p.page_id % 4 == 1, F.concat(F.lit("https://x.com/market-news/"), "page_id")).when(p.page_id % 4 == 2, "https://x.com/a?limit=5").when(p.page_id % 4 == 3, "https://x.com/sitemap.xml").otherwise(p.url)
-    return p.select("page_id", urls.reject_reason(made).alias("reason"))
+    return _urls(spark, d).select("page_id", urls.reject_reason("u").alias("reason"))
 
 
 @_query(f"WITH {TITLED} SELECT tok, count(*) AS df FROM (SELECT unnest({TOKS}) AS tok FROM titled) GROUP BY tok")
@@ -377,11 +392,14 @@ def a19_funnel_layers(spark, d):
     return funnel.layer_counts(funnel.layers(_titled(spark, d)))
 
 
-@_query(r"""WITH t AS (SELECT p_brand AS src, string_split(p_name || ' ' || p_size || ' is on sale Now', ' ') AS w, p_name FROM part),
-s AS (SELECT src, array_to_string(list_transform(w, lambda x: CASE WHEN regexp_matches(x, '\d') THEN '#' WHEN regexp_matches(x, '^[A-Z]') THEN '@' ELSE lower(x) END), ' ') AS skel FROM t)
+@_query(r"""WITH t AS (SELECT p_partkey, unnest(string_split('"' || p_name || '" (' || p_size || '), Acme & A&B/C Co.: ' || p_brand || ' is on Sale; X', ' ')) AS w,
+  unnest(range(1, 20)) AS i FROM part),
+b AS (SELECT p_partkey, i, trim(w, '(),:;"' || chr(39) || '“”|') AS w FROM t WHERE w IS NOT NULL AND w <> ''),
+m AS (SELECT *, CASE WHEN regexp_matches(w, '\d') THEN '#' WHEN regexp_full_match(w, '[A-Z][A-Za-z.&' || chr(39) || '’-]*|[A-Z0-9.-]{2,8}') THEN '@' ELSE lower(w) END AS k FROM b),
+s AS (SELECT p_partkey, string_agg(k, ' ' ORDER BY i) AS skel FROM (SELECT *, lag(k) OVER (PARTITION BY p_partkey ORDER BY i) AS before FROM m) WHERE k <> '@' OR coalesce(before, '') <> '@' GROUP BY 1)
 SELECT skel, count(*) AS freq FROM s GROUP BY skel HAVING count(*) >= 20""")
 def f30_skeletons(spark, d):
-    title = F.concat_ws(" ", "p_name", "p_size", F.lit("is on sale Now"))
+    title = F.concat(F.lit('"'), "p_name", F.lit('" ('), F.col("p_size").cast("string"), F.lit("), Acme & A&B/C Co.: "), "p_brand", F.lit(" is on Sale; X"))
     return _read(spark, d, "part").groupBy(T.skeleton(title).alias("skel")).agg(F.count("*").alias("freq")).filter("freq >= 20")
 
 

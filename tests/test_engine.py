@@ -34,6 +34,17 @@ def test_urls(spark):
     assert one(spark, urls.normalize_url(F.lit("ftp://x"))) is None
     assert one(spark, urls.reject_reason(F.lit(""))) == "missing_url"
     assert one(spark, urls.reject_reason(F.lit("https://x.com/sitemap.xml"))) == "sitemap_url"
+    assert one(spark, urls.reject_reason(F.lit("https://x.com/my-sitemap-guide"))) is None
+    assert one(spark, urls.reject_reason(F.lit("https://x.com/a?Limit="))) == "feed_or_list_query"
+    assert one(spark, urls.normalize_url(F.lit("http://x.com//?b&a=%7E+%2A%zz&a=1=2"))) == "http://x.com?a=1%3D2&a=~+%2A%25zz&b="
+
+
+def test_titles_and_names(spark):
+    assert one(spark, T.skeleton(F.lit('"Sale", says A&B/C: Acme Corp\'s (300) UP'))) == "@ says a&b/c @ # @"
+    assert one(spark, T.subjects(F.lit("Acme, Beta rise"))) == "acme beta"
+    pattern = lambda x: one(spark, T.title_pattern(F.lit(x)))
+    assert [pattern(x) for x in ("Ionis Pharmaceuticals, Inc.", "Big Red Dog Group Holdings", "AT&T Inc", "Inc", "Acme Trust")] == ["Ionis", r"Big\s+Red", r"AT\&T", "", r"Acme\s+Trust"]
+    assert one(spark, T.literal_dict(F.lit("""{'a': "it's", 'b': None}""")))["a"] == "it's"
 
 
 def test_ingest_rejects_and_keys(spark):
