@@ -9,7 +9,7 @@ import pandas as pd
 import pytest
 
 pytest.importorskip("eventloom.llm")
-from eventloom.llm import decontamination, host_rules, html, jaccard, packing, queries, shingles, substring, tokens, toxicity, warc  # noqa: E402
+from eventloom.llm import decontamination, host_rules, html, jaccard, packing, quality, queries, shingles, substring, tokens, toxicity, warc  # noqa: E402
 
 DATA = "/root/testdata/sf0.001"
 EDGES = [(1, None), (2, ""), (3, "a b c d e f g h i j k"), (3, "a b c d e f g h i j k"), (4, "word " * 20000), (None, "x y")]
@@ -249,6 +249,112 @@ def test_rows_without_an_own_id_are_judged_by_their_text(spark, tmp_path):
     assert sorted(map(tuple, left), key=str) == sorted((r for r in rows if r[1] not in (text("b"), text("c"))), key=str)
 
 
+def held_out(spark, name, column):
+    """(predicted, label) of rows outside the training; the smaller tables hold too few labels to learn toxicity."""
+    labels = {r["doc_id"]: r[column] for r in spark.read.parquet("/root/testdata/sf0.1/labels.parquet").collect()}
+    rows = queries.queries()[name](spark, "/root/testdata/sf0.1").collect()
+    assert all(0 <= r["score"] <= 1 for r in rows)
+    return [(r["predicted"], labels[r["doc_id"]]) for r in rows if r["held_out"] and r["doc_id"] in labels]
+
+
+@pytest.mark.parametrize("name, column", [("op4_quality_classifier", "quality"), ("op9_toxicity", "toxic")])
+def test_held_out_accuracy(spark, name, column):
+    pairs = held_out(spark, name, column)
+    assert len(pairs) > 300 and sum(a == b for a, b in pairs) >= 0.95 * len(pairs)
+
+
+def test_flat_trees_equal_a_walk():
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(400, 5))
+    y = ((x[:, 0] > 0.2) ^ (x[:, 3] < -0.4)).astype(float)
+    forest = quality.grow(x, y, trees=12, depth=3)
+
+    def walk(node, row):
+        while forest.child[node] != node:
+            node = forest.child[node] + int(row[forest.feature[node]] > forest.threshold[node])
+        return forest.value[node]
+
+    want = [forest.bias + sum(walk(r, row) for r in forest.roots) for row in x]
+    assert np.allclose(forest.margins(x), want) and ((forest.margins(x) > 0) == (y > 0.5)).mean() > 0.9
+
+
+def test_token_counts_equal_the_library(spark):
+    path = tokens.default_tokenizer()
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").unionByName(edge_docs(spark).drop("tok"))
+    library = tokens.encoder(path).library
+    want = [(r["doc_id"], len((r["text"] or "").encode()), len(library.encode(r["text"] or "", add_special_tokens=False).ids)) for r in docs.collect()]
+    got = [(r["doc_id"], r["n_bytes"], r["n_tokens"]) for r in tokens.count_tokens(docs, path).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_every_exact_passage_is_found(spark):
+    """Against all runs of 50 words: each that an earlier text holds lies in a passage found for its text."""
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    words = {r["doc_id"]: shingles.word_hashes(r["text"]) for r in docs.collect()}
+    runs = {i: shingles.grams(w, 50) for i, w in words.items()}
+    found: dict[int, list] = {}
+    for r in substring.passages(docs).collect():
+        assert r["source_id"] < r["doc_id"] and r["n_words"] >= 50 and r["n_matched"] >= 0.8 * r["n_words"]
+        found.setdefault(r["doc_id"], []).append((r["start"], r["start"] + r["n_words"]))
+    seen: set[int] = set()
+    checked = 0
+    for i in sorted(words):
+        inside = np.zeros(len(words[i]), bool)
+        for a, b in found.get(i, []):
+            inside[a:b] = True
+        for at, h in enumerate(runs[i].tolist()):
+            if h in seen:
+                checked += 1
+                assert inside[at : at + 50].all()
+        seen.update(runs[i].tolist())
+    assert checked > 100
+
+
+def test_shuffled_plans_give_the_same(spark, monkeypatch):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    want = rows(jaccard.jaccard_components(spark, docs)), rows(substring.passages(docs))
+    monkeypatch.setattr(jaccard, "BROADCAST_IDS", 0)
+    monkeypatch.setattr(substring, "BROADCAST_ROWS", 0)
+    assert want == (rows(jaccard.jaccard_components(spark, docs)), rows(substring.passages(docs)))
+    items = spark.read.parquet(f"{DATA}/benchmark.parquet")
+    want = rows(decontamination.decontaminate(docs, items))
+    monkeypatch.setattr(decontamination, "BROADCAST_WINDOWS", 0)
+    assert want == rows(decontamination.decontaminate(docs, items))
+
+
+def test_whole_pipeline(spark):
+    """run() against what its stages must leave: no linked pair, no item window, each id of each kept text once."""
+    import corpus_pipeline
+
+    docs, stages = spark.read.parquet(f"{DATA}/documents.parquet"), dict(corpus_pipeline.STAGES)
+    whole = docs
+    for name in list(stages)[:-1]:
+        docs = corpus_pipeline.settle(stages[name](spark, docs, DATA), "test")
+        assert docs.columns == whole.columns
+    left = {r["doc_id"]: r["text"] for r in docs.collect()}
+    texts = {r["doc_id"]: r["text"] for r in whole.collect()}
+    assert 0 < len(left) < len(texts) and all(len((t or "").split()) <= len((texts[i] or "").split()) for i, t in left.items())
+    items = spark.read.parquet(f"{DATA}/benchmark.parquet")
+    assert decontamination.decontaminate(docs, items).filter("n_items > 0").count() == 0
+    sets = [set(shingles.shingle_set(t).tolist()) for i, t in left.items() if t == texts[i]]
+    assert not any(x and y and 100 * len(x & y) >= 80 * len(x | y) for k, x in enumerate(sets) for y in sets[:k])
+    library = tokens.encoder(tokens.default_tokenizer()).library
+    want = sum(len(library.encode(t or "", add_special_tokens=False).ids) + 1 for t in left.values())
+    got = corpus_pipeline.run(spark, DATA).collect()
+    assert {r["doc_id"] for r in got} == set(left) and sum(r["length"] for r in got) == want
+
+
+def test_pages_with_missing_columns_and_repeats(spark):
+    page = "<p>" + "x" * 1500
+    rows = [(1, "u", page), (2, None, page), (2, None, page), (3, "v", None), (4, "v", ""), (None, "w", "y")]
+    got = warc.archive_pages(spark, spark.createDataFrame([(*r, 1) for r in rows], "page_id long, url string, html string, record_type int")).collect()
+    assert sorted(((r["page_id"], r["payload_bytes"]) for r in got), key=str) == sorted(((r[0], len((r[2] or "").encode())) for r in rows), key=str)
+    assert sorted((r["page_id"], r["record_type"], r["refers_to"]) for r in got if r["payload_bytes"] > 1000) == [(1, "revisit", 2), (2, "response", None), (2, "response", None)]
+    text = html.extract_main_text(spark.createDataFrame([(*r, 1) for r in rows], "page_id long, url string, html string, w int"))
+    assert text.count() == len(rows) and html.extract_main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
 def test_swapped_identities_do_not_matter():
     index = {t: i for i, t in enumerate([t for kind in toxicity.IDENTITIES for t in kind] + ["bad"])}
     x, y = np.zeros((80, len(index)), np.float32), np.zeros(80, np.float32)
@@ -271,6 +377,18 @@ def test_main_text():
     assert html.main_texts(html.labeller(), [page, None, ""]) == ["Head line One & two words here. More words in the article.", "", ""]
 
 
+def test_deep_pages_take_time_in_proportion():
+    import time
+
+    def took(n):
+        began = time.process_time()
+        assert html.blocks_of("<div class='a b'>word" * n)[-1][1] == "word"
+        return time.process_time() - began
+
+    took(2000)
+    assert took(16000) < 40 * max(took(2000), 0.005)
+
+
 def test_salvage():
     row = lambda i: {"html": "h" * 2000 + str(i), "record_type": "response", "page_id": i, "url": "u", "refers_to": None}
     raws = [warc.member(warc.capture(row(i))) for i in range(4)]
