@@ -74,3 +74,5 @@ ITEM = r"\bItem\s+(\d\.\d{2})\.?\s+([A-Z][A-Za-z0-9 ,;’'\-/&()]+?)(?=\s+(?:On\
 # Fixed thresholds.
 DATE_RANGE = ("2000-01-01", "2026-08-01")
 ERA_SPLIT = "2023-07-01"
+# Fixed value: the index cuts titles to this many characters.
+TITLE_CHARS = 400

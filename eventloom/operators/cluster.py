@@ -33,20 +33,52 @@ def pool(index: DataFrame) -> DataFrame:
     return company.unionByName(macro.filter("bucket IS NOT NULL").withColumn("track", F.lit("macro")))
 
 
+def _marks(toks, words: int = 4) -> list[Column]:
+    """Token arrays as bit sets of 64 * words bits, one long each."""
+    zero = F.lit(0).cast("long")
+
+    def word(k: int) -> Column:
+        def add(marks, t):
+            place = F.pmod(F.xxhash64(t), F.lit(64 * words)).cast("int")
+            bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(place, F.lit(64)))
+            return marks.bitwiseOR(F.when(F.floor(place / 64) == k, bit).otherwise(zero))
+
+        return F.aggregate(toks, zero, add)
+
+    return [word(k) for k in range(words)]
+
+
+def ordered(rows: DataFrame) -> DataFrame:
+    """Rows (bucket, id, day) with `ord`, their place in the bucket by day and id. Only the counts of
+    days are ordered by whole buckets; rows are ordered by bucket and day, so no task holds a bucket."""
+    ahead = Window.partitionBy("bucket").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
+    days = rows.groupBy("bucket", "day").agg(F.count("*").alias("c")).select("bucket", "day", F.coalesce(F.sum("c").over(ahead), F.lit(0)).alias("before"))
+    placed = rows.withColumn("in_day", F.row_number().over(Window.partitionBy("bucket", "day").orderBy("id")))
+    return placed.join(days, ["bucket", "day"]).withColumn("ord", F.col("before") + F.col("in_day")).drop("before", "in_day")
+
+
 def similar_pairs(rows: DataFrame, ratio: float | None = RATIO, jaccard: float = JACCARD, days: int = SPAN_DAYS, look_back: int = LOOK_BACK, rare: DataFrame | None = None, lower: bool = False) -> DataFrame:
-    """(bucket, a, b) of rows (bucket, id, day, title): at most `days` and `look_back` rows apart in
-    a bucket, token Jaccard and, unless None, word-set ratio reached. With `rare` (tok) pairs must
-    share a rare token. The cheap test runs inside the join, the ratio on what is left."""
-    w = Window.partitionBy("bucket").orderBy("day", "id")
+    """(bucket, a, b) of rows (bucket, id, day, title) without null days: at most `days` and `look_back`
+    rows apart in a bucket, token Jaccard and, unless None, word-set ratio reached. With `rare` (tok)
+    pairs must share a rare token. Buckets are cut into blocks of look_back rows, and a row meets its own
+    block and the next, so a hot bucket is many keys. Inside the join a bound from bit sets of the tokens
+    (common bits, and as many tokens as one side lost to shared bits, are the most that can be shared)
+    leaves out most pairs exactly; arrays are compared only for what passes."""
     t = F.lower("title") if lower else F.col("title")
-    base = rows.select("bucket", "id", "day", t.alias("title"), T.tokens("title").alias("toks"), F.row_number().over(w).alias("ord"))
+    base = ordered(rows.select("bucket", "id", "day", t.alias("title")).filter("bucket IS NOT NULL AND day IS NOT NULL")).withColumn("toks", T.tokens("title")).withColumn("n", F.size("toks"))
     if rare is not None:
         hit = base.select("bucket", "id", F.explode("toks").alias("tok")).join(rare, "tok").groupBy("bucket", "id").agg(F.collect_set("tok").alias("rare"))
-        base = base.join(hit, ["bucket", "id"], "left").withColumn("rare", F.coalesce("rare", F.array().cast("array<string>")))
-    x, y = base.alias("x"), base.alias("y")
+        base = base.join(hit, ["bucket", "id"])  # rows without a rare token share none
+    words = [f"m{k}" for k in range(4)]
+    base = base.withColumns(dict(zip(words, _marks(F.col("toks"))))).withColumn("lost", F.col("n") - sum(F.bit_count(m) for m in words))
+    base = base.withColumn("block", F.floor((F.col("ord") - 1) / look_back))
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # pairs are many where rows are few, so tasks must not be merged by bytes
+    x = base.withColumn("block", F.explode(F.array("block", F.col("block") + 1))).repartition(parts, "bucket", "block").alias("x")
+    y = base.repartition(parts, "bucket", "block").hint("shuffle_hash").alias("y")
+    most = sum(F.bit_count(F.col(f"x.{m}").bitwiseAND(F.col(f"y.{m}"))) for m in words) + F.least("x.lost", "y.lost")
     cond = (
-        (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.ord") < F.col("y.ord")) & (F.col("y.ord") - F.col("x.ord") <= look_back)
-        & (F.datediff("y.day", "x.day") <= days)
+        (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.block") == F.col("y.block")) & (F.col("x.ord") < F.col("y.ord")) & (F.col("y.ord") - F.col("x.ord") <= look_back)
+        & (F.datediff("y.day", "x.day") <= days) & (most * (1 + jaccard) >= jaccard * (F.col("x.n") + F.col("y.n")) - 1e-6)
     )
     if rare is not None:
         cond = cond & F.arrays_overlap("x.rare", "y.rare")

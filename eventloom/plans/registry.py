@@ -42,13 +42,13 @@ def _titled(spark, d) -> DataFrame:
     """documents as titled rows: id, bucket, day, title, body_len, src."""
     return _read(spark, d, "documents").select(
         F.col("doc_id").alias("id"), F.col("source").alias("bucket"), F.date_add(F.lit("2025-12-20").cast("date"), (F.col("doc_id") % 30).cast("int")).alias("day"),
-        F.substring(F.split("text", "\n")[0], 1, 80).alias("title"), F.length("text").alias("body_len"),
+        F.substring(F.split("text", "\n")[0], 1, vocab.TITLE_CHARS).alias("title"), F.length("text").alias("body_len"),
         F.when(F.col("doc_id") % 2 == 0, "FLASH").otherwise("NEWS").alias("src"), F.col("doc_id").alias("ord"), "text",
     )
 
 
 TITLED = """titled AS (SELECT doc_id AS id, source AS bucket, DATE '2025-12-20' + CAST(doc_id % 30 AS INTEGER) AS day,
-  substr(string_split(text, chr(10))[1], 1, 80) AS title, length(text) AS body_len,
+  substr(string_split(text, chr(10))[1], 1, 400) AS title, length(text) AS body_len,
   CASE WHEN doc_id % 2 = 0 THEN 'FLASH' ELSE 'NEWS' END AS src, text FROM documents)"""
 STOPS = "[" + ", ".join(f"'{w}'" for w in vocab.STOP_WORDS) + "]"
 TOKS = f"list_distinct(list_filter(regexp_extract_all(lower(title), '[a-z0-9]+'), lambda t: length(t) > 1 AND NOT list_contains({STOPS}, t)))"
