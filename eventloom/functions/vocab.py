@@ -76,3 +76,28 @@ DATE_RANGE = ("2000-01-01", "2026-08-01")
 ERA_SPLIT = "2023-07-01"
 # Fixed value: the index cuts titles to this many characters.
 TITLE_CHARS = 400
+
+# Fixed values of the training case.
+CASE_SCHEMA = "FinancialPredictionTrainingCase.v4.three_year_event_signal_pack"
+CASE_KINDS = ("News", "Flash", "Robot", "Post", "Article", "Report", "teleconference", "AI_search")
+SOURCE_KINDS = {
+    "US_NEWS": "News", "US_FLASH": "Flash", "US_ROBOT": "Robot", "US_POST": "Post", "US_ARTICLE": "Article",
+    "REPORT": "Report", "TELECONFERENCE": "teleconference",
+}
+LEAKAGE_BOUNDARY = (
+    "S0 pre-event market and S1 official event facts are model-visible; S2/S3/S4 prices, follow-on news, analyst reactions and social hindsight "
+    "are hidden labels/audit only."
+)
+RELATION_POLICY = "relation text is visible, but numeric direction/strength labels are not manually assigned"
+PRICED, UNPRICED = "priced_and_labeled", "unpriced_weak_candidate_needs_price_panel"
+TREATMENT_PRICED = "model-visible relation context; future direction learned from hidden labels"
+TREATMENT_UNPRICED = "weak relation candidate; procure price panel before using as supervised target"
+TREATMENT_PRICED_CN = "已打价：进入 1D/5D/20D 未来收益标签；方向和强度由标签学习。"
+TREATMENT_UNPRICED_CN = "待补价：先作弱关联召回，补齐行情面板后再决定是否进入监督标签。"
+RELATION_CN = "事件相关候选"
+TRACE_OFFICIAL, TRACE_RELATION = "主事件官方源", "候选标的关系表"
+TRAIN_METRICS = ("direction", "return interval", "cross-section rank", "abnormal return vs proxy")
+LABEL_BASE = "adjusted close-to-close and tradable open-to-close"
+CHANNEL_ROLE = "learnable_channel_not_manual_score"
+PRICE_PROVIDER, PRICE_ADJUSTMENT = "Yahoo Finance via yfinance", "auto_adjust=True"
+SESSION_SCOPE = "regular_session_09:30_16:00_ET"

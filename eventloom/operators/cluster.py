@@ -137,3 +137,18 @@ def corroboration(symbols: DataFrame, stats: DataFrame, reactions: DataFrame, be
     # Each day is a row, so the join is on symbol and day and does not form a symbol's whole history.
     hit = e.select("event_id", "sym", F.explode(days).alias("d")).join(reactions.withColumn("d", F.col("d").cast("date")), ["sym", "d"])
     return hit.groupBy("event_id").agg(F.countDistinct("doc_id").alias("n_v2_reactions"))
+
+
+def day_margin(rows: DataFrame, date: str, days: int = 7, day: str = "pub_date") -> DataFrame:
+    """Rows within `days` days of a date, so that clusters that reach it are whole."""
+    around = [F.date_format(f(F.lit(date).cast("date"), days), "yyyy-MM-dd") for f in (F.date_sub, F.date_add)]
+    return rows.filter(F.col(day).between(*around))
+
+
+def merged_spans(members: DataFrame, clusters: DataFrame) -> DataFrame:
+    """Events of merged clusters with their distinct ids, first and last day, and track: macro if one of
+    the clusters is. members: event_id, cid, id; clusters: cid, first_day, last_day, track."""
+    whole = members.select("event_id", "cid").distinct().join(clusters, "cid").groupBy("event_id").agg(
+        F.count("*").alias("n_clusters"), F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day"), F.max("track").alias("track")
+    )  # macro comes after company
+    return whole.join(members.groupBy("event_id").agg(F.countDistinct("id").alias("n_articles")), "event_id")

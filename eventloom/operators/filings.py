@@ -57,5 +57,15 @@ def latest_day(rows: DataFrame, day: str) -> DataFrame:
 
 
 def as_member(events: DataFrame) -> DataFrame:
-    """A filing event as an article of its own event."""
-    return events.select("event_id", "id", F.lit("SEC 8-K").alias("source_name"), "title", F.col("declare_date").alias("published_at"), F.length("summary").alias("body_len"), F.col("summary").alias("body"))
+    """A filing event as an article of its own event; events without a summary have none."""
+    title = F.coalesce(T.first_filled("title"), F.concat(F.lit("Form 8-K Item "), F.coalesce(T.first_filled("item"), F.lit("?"))))
+    return events.filter(T.blank("summary") != "").select(
+        "event_id", F.coalesce(T.first_filled("id"), F.col("event_id")).alias("id"), F.lit("SEC EDGAR 8-K").alias("source_name"), title.alias("title"), F.col("declare_date").alias("pub_date"),
+        F.col("url"), F.length("summary").alias("body_len"), F.col("summary").alias("body"),
+    )
+
+
+def source_url(source) -> Column:
+    """The URL of a source that is a dict as text, else the first URL in the text; null if none."""
+    found = F.nullif(F.regexp_extract(T.blank(source), r"https?://[^\s'\"}]+", 0), F.lit(""))
+    return F.coalesce(T.first_filled(T.literal_dict(source)["url"]), found)

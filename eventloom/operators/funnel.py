@@ -60,14 +60,24 @@ def mine_templates(rows: DataFrame, least: int = 20, subjects: int = 10, share:
 
 
 def holdout(rows: DataFrame, split_day: str, **limits) -> DataFrame:
-    """Templates of both halves: counts, shared ones and how many titles of the second half the
-    templates of the first half meet."""
-    h1, h2 = rows.filter(F.col("day") < split_day), rows.filter(F.col("day") >= split_day)
-    a, b = mine_templates(h1, **limits).select("skel"), mine_templates(h2, **limits).select("skel")
-    both = a.join(b, "skel").agg(F.count("*").alias("shared"))
-    met = h2.select(T.skeleton("title").alias("skel")).join(a, "skel", "left_semi").agg(F.count("*").alias("retained"))
-    one = lambda d, n: d.agg(F.count("*").alias(n))
-    return one(a, "h1").join(one(b, "h2")).join(both).join(met).join(one(h2, "h2_rows"))  # single rows
+    """One row on templates of both halves (before split_day, and from it on): how many there are, are
+    shared, and are new in the second; and for titles of the second half how many the templates of the
+    first, of the second, the hard rules, both and only one of them meet, and the share that the older
+    templates keep. Flags are joined to distinct templates and summed in one pass."""
+    halves = [mine_templates(rows.filter(c), **limits).select("skel") for c in (F.col("day") < split_day, F.col("day") >= split_day)]
+    both = halves[0].withColumn("t1", F.lit(1)).join(halves[1].withColumn("t2", F.lit(1)), "skel", "full").select("skel", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("t1", "t2")])
+    titles = rows.filter(F.col("day") >= split_day).groupBy(T.skeleton("title").alias("skel"), hard_rule("title").isNotNull().cast("int").alias("rx")).agg(F.count("*").alias("n"))
+    seen = both.join(titles, "skel", "full").select(
+        F.row_number().over(Window.partitionBy("skel").orderBy("rx")).alias("k"), *[F.coalesce(c, F.lit(0)).alias(c) for c in ("t1", "t2", "rx", "n")]
+    )
+    t1, t2, rx, n, first = F.col("t1") == 1, F.col("t2") == 1, F.col("rx") == 1, F.col("n"), F.col("k") == 1
+    rows_of = lambda c: F.coalesce(F.sum(F.when(c, n)), F.lit(0))
+    out = seen.agg(
+        F.count_if(t1 & first).alias("h1"), F.count_if(t2 & first).alias("h2"), F.count_if(t1 & t2 & first).alias("shared"), F.count_if(~t1 & t2 & first).alias("drift"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("h2_rows"), rows_of(t1).alias("by_t1"), rows_of(t2).alias("by_t2"), rows_of(rx).alias("by_rules"),
+        rows_of(t1 & rx).alias("by_both"), rows_of(rx & ~t1).alias("only_rules"), rows_of(t1 & ~rx).alias("only_t1"), rows_of(t2 & ~t1).alias("drift_rows"),
+    )
+    return out.withColumn("kept_share", F.round(F.col("by_t1") / F.greatest("by_t2", F.lit(1)), 3))
 
 
 def document_frequency(rows: DataFrame) -> DataFrame:
@@ -109,3 +119,22 @@ def diagnostics(stats: DataFrame) -> DataFrame:
         F.count_if(big).alias("n5"), F.count_if(big & (span > 7)).alias("over7"), F.count_if(big & (span > 30)).alias("over30"),
         *[F.count_if((F.col("n_articles") >= n) & (F.col("track") == t)).alias(f"{t}_{n}") for n in (2, 3, 5, 8) for t in ("macro", "company")],
     )
+
+
+def at_least(stats: DataFrame, sizes: tuple[int, ...] = (3, 10)) -> DataFrame:
+    """One row: clusters in all, and those of at least so many articles."""
+    return stats.agg(F.count("*").alias("clusters_total"), *[F.count_if(F.col("n_articles") >= n).alias(f"clusters_ge{n}") for n in sizes])
+
+
+def largest(stats: DataFrame, titles: DataFrame, top: int = 25, least: int = 5) -> DataFrame:
+    """The `top` largest clusters of at least `least` articles with sample titles: a top-k report."""
+    big = stats.filter(F.col("n_articles") >= least).orderBy(F.desc("n_articles"), "event_id").limit(top)
+    return big.join(titles, "event_id", "left")
+
+
+def by_frequency(templates: DataFrame) -> DataFrame:
+    """Templates with their place, most frequent first, equals by name. Places follow from counts of
+    frequencies; only templates of one frequency are ordered by one task."""
+    above = templates.groupBy("freq").agg(F.count("*").alias("c")).select("freq", (F.sum("c").over(Window.orderBy(F.desc("freq"))) - F.col("c")).alias("above"))
+    placed = templates.withColumn("k", F.row_number().over(Window.partitionBy("freq").orderBy("skel"))).join(above, "freq")
+    return placed.withColumn("place", F.col("above") + F.col("k")).drop("above", "k")

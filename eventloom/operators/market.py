@@ -29,11 +29,12 @@ def event_symbols(relation_symbols, primary_symbols, most: int = 16) -> Column:
 
 
 def sessions(panel: DataFrame) -> DataFrame:
-    """Panel with the place `k` of each session in its symbol (from 0), their number and forward closes."""
+    """Panel (symbol, date, open, close) with the place `k` of each session in its symbol (from 0), their
+    number, the next session's day and open, and the days and closes of the horizons."""
     w = Window.partitionBy("symbol").orderBy("date")
-    ahead = {f"close_{h}": F.lead("close", k + 1).over(w) for h, k in HORIZONS.items()}
-    return panel.withColumns({"k": F.row_number().over(w) - 1, "first_date": F.lead("date", 1).over(w)} | ahead).join(
-        panel.groupBy("symbol").agg(F.count("*").alias("n")), "symbol"
+    ahead = {f"{c}_{h}": F.lead(c, k + 1).over(w) for h, k in HORIZONS.items() for c in ("close", "date")}
+    return panel.select("symbol", "date", "open", "close").withColumns(
+        {"k": F.row_number().over(w) - 1, "n": F.count("*").over(Window.partitionBy("symbol")), "first_date": F.lead("date", 1).over(w), "first_open": F.lead("open", 1).over(w)} | ahead
     )
 
 
@@ -43,7 +44,7 @@ def base_sessions(events: DataFrame, panel: DataFrame) -> DataFrame:
     and sessions are put in one order by symbol, and each event takes the last session ahead of it,
     so the work grows with their sum, not with their product."""
     s = sessions(panel.join(events.select("symbol").distinct(), "symbol", "left_semi"))
-    row = F.struct("date", "close", "k", "n", "first_date", *[f"close_{h}" for h in HORIZONS])
+    row = F.struct("date", "close", "k", "n", "first_date", "first_open", *[f"{c}_{h}" for h in HORIZONS for c in ("close", "date")])
     marks = s.select("symbol", F.col("date").alias("at"), F.lit(1).alias("turn"), row.alias("b"))
     asks = events.select("symbol", F.col("event_date").alias("at"), F.when(F.col("bucket") == "pre_market", 0).otherwise(2).alias("turn"), F.struct("event_id", "event_date", "bucket").alias("e"))
     w = Window.partitionBy("symbol").orderBy("at", "turn").rowsBetween(Window.unboundedPreceding, 0)
@@ -53,21 +54,33 @@ def base_sessions(events: DataFrame, panel: DataFrame) -> DataFrame:
 
 
 def labels(events: DataFrame, panel: DataFrame) -> DataFrame:
-    """Forward returns from the base close over 1, 5 and 20 sessions, with the rank of the 20-day
-    return in the event; symbols need 15 sessions before and 20 after; events need three labels."""
+    """Labels of events: base close to four places, the gap to the next open, returns over 1, 5 and 20
+    sessions from the base close and from that open, with the days they end on, and the rank of the
+    20-day return in the event; symbols need 15 sessions before and 20 after; events need three labels."""
     base = base_sessions(events, panel).filter((F.col("k") >= BEFORE) & (F.col("k") + 1 + AFTER <= F.col("n")))
-    out = base.select("event_id", "symbol", F.col("date").alias("base_close_date"), F.col("first_date").alias("first_tradable"), *[T.pct("close", f"close_{h}").alias(f"ret_{h}") for h in HORIZONS])
+    out = base.select(
+        "event_id", "symbol", F.col("date").alias("base_close_date"), F.round("close", 4).alias("base_close"), F.col("first_date").alias("first_tradable"), T.pct("close", "first_open").alias("gap"),
+        *[T.pct("close", f"close_{h}").alias(f"ret_{h}") for h in HORIZONS], *[T.pct("first_open", f"close_{h}").alias(f"open_ret_{h}") for h in HORIZONS], *[f"date_{h}" for h in HORIZONS],
+    )
     each = Window.partitionBy("event_id")
     ranked = out.withColumns({"n_labels": F.count("*").over(each), "rank_20d": F.row_number().over(each.orderBy(F.desc("ret_20d"), "symbol"))})
     return ranked.filter(F.col("n_labels") >= MIN_LABELS)
 
 
-def windows(base: DataFrame, panel: DataFrame) -> DataFrame:
-    """The sessions around each base: 15 up to it and 20 after it, as arrays of (date, close)."""
-    s = panel.withColumn("kk", F.row_number().over(Window.partitionBy("symbol").orderBy("date")) - 1)
-    hit = base.select("event_id", "symbol", "k").join(s, "symbol").filter(F.col("kk").between(F.col("k") - BEFORE + 1, F.col("k") + AFTER))
-    rows = F.array_sort(F.collect_list(F.struct("date", "close", (F.col("kk") - F.col("k")).alias("offset"))))
-    return hit.groupBy("event_id", "symbol").agg(rows.alias("w")).select("event_id", "symbol", F.filter("w", lambda x: x["offset"] <= 0).alias("lookback"), F.filter("w", lambda x: x["offset"] > 0).alias("audit"))
+def unpriced(events: DataFrame, labelled: DataFrame) -> DataFrame:
+    """(event_id, symbol) of labelled events whose symbol has no label of its own."""
+    known = labelled.select("event_id", "symbol")
+    return events.select("event_id", "symbol").distinct().join(known.select("event_id").distinct(), "event_id", "left_semi").join(known, ["event_id", "symbol"], "left_anti")
+
+
+def price_windows(labelled: DataFrame, panel: DataFrame) -> DataFrame:
+    """(event_id, symbol, model_input, label_audit): bars of the 15 sessions up to the base, which a
+    model may see, and of the 20 after it, which it may not. Prices have four places."""
+    wanted = panel.join(labelled.select("symbol").distinct(), "symbol", "left_semi")
+    bar = F.struct("date", *[F.round(c, 4).alias(c) for c in ("open", "high", "low", "close")], F.col("volume").cast("long").alias("volume"))
+    w = Window.partitionBy("symbol").orderBy("date")
+    seen = wanted.select("symbol", "date", F.collect_list(bar).over(w.rowsBetween(1 - BEFORE, 0)).alias("model_input"), F.collect_list(bar).over(w.rowsBetween(1, AFTER)).alias("label_audit"))
+    return labelled.select("event_id", "symbol", F.col("base_close_date").alias("date")).join(seen, ["symbol", "date"]).select("event_id", "symbol", "model_input", "label_audit")
 
 
 def intraday_panel(bars: DataFrame) -> DataFrame:
@@ -81,10 +94,10 @@ def intraday_panel(bars: DataFrame) -> DataFrame:
     return grouped.withColumns({"bar_count": F.size("bars"), "complete": complete_panel(F.col("bars"))})
 
 
-def complete_panel(bars) -> Column:
-    """At least 380 bars at distinct minutes, from 09:35 or earlier to 15:55 or later."""
+def complete_panel(bars, least: int = MIN_BARS) -> Column:
+    """At least `least` bars at distinct minutes, from 09:35 or earlier to 15:55 or later."""
     times = F.transform(bars, lambda b: b["t"])
-    return (F.size(bars) >= MIN_BARS) & (F.size(F.array_distinct(times)) == F.size(times)) & (F.get(times, F.lit(0)) <= "09:35") & (F.element_at(times, -1) >= "15:55")
+    return (F.size(bars) >= least) & (F.size(F.array_distinct(times)) == F.size(times)) & (F.get(times, F.lit(0)) <= "09:35") & (F.element_at(times, -1) >= "15:55")
 
 
 def require_fields(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -90,3 +90,24 @@ def sample_titles(members: DataFrame, most: int = 6) -> DataFrame:
     w = Window.partitionBy("event_id").orderBy(F.desc("body_len"), "id")
     top = members.withColumn("rk", F.row_number().over(w)).filter(F.col("rk") <= most)
     return top.groupBy("event_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("rk", "title"))), lambda x: x["title"]).alias("titles"))
+
+
+def on_peak(events: DataFrame, date: str | None = None, limit: int | None = None) -> DataFrame:
+    """Events whose peak is the date, all without one; the first `limit` by id where that is asked for."""
+    kept = events.filter(F.col("peak_date") == date) if date else events
+    return kept.orderBy("event_id").limit(limit) if limit else kept
+
+
+def structure_inputs(events: DataFrame, members: DataFrame, bodies: DataFrame, filed: DataFrame | None = None, most: int = 8) -> DataFrame:
+    """What a model is given on each event: (event_id, n_members, source_ids, articles). Members of
+    wanted events only are ranked; bodies (id, body) are joined to the few that stay, one that is
+    missing is empty. `filed` members (event_id, id, source_name, title, pub_date, body) of filing events
+    are single articles. Events without members have no row."""
+    best = top_members(members.join(events.select("event_id").distinct(), "event_id", "left_semi"), most).select("event_id", "id", "rk", "pub_date", "source_name", "title")
+    text = best.join(bodies.select("id", T.clean_body("body").alias("body")), "id", "left")
+    if filed is not None:
+        text = text.unionByName(filed.select("event_id", "id", F.lit(1).alias("rk"), "pub_date", "source_name", "title", T.clean_body("body", 8400).alias("body")))
+    part = F.format_string("--- %d [%s] %s ---\n%s\n%s", F.col("rk"), T.blank("pub_date"), F.coalesce(T.first_filled("source_name"), F.lit("?")), T.blank("title"), F.coalesce(T.first_filled("body"), F.lit("(empty)")))
+    parts = F.array_sort(F.collect_list(F.struct("rk", F.col("id").cast("string").alias("id"), part.alias("part"))))
+    grouped = text.groupBy("event_id").agg(parts.alias("p"))
+    return grouped.select("event_id", F.size("p").alias("n_members"), F.transform("p", lambda x: x["id"]).alias("source_ids"), F.array_join(F.transform("p", lambda x: x["part"]), "\n\n").alias("articles"))

@@ -324,17 +324,22 @@ def w15_latest(spark, d):
     return filings.latest_day(c, "t").drop("t")
 
 
-PANEL = """panel AS (SELECT CAST(l_suppkey AS VARCHAR) AS symbol, strftime(l_shipdate, '%Y-%m-%d') AS date, CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS DOUBLE) / 100 AS close FROM lineitem GROUP BY 1, 2),
-s AS (SELECT *, row_number() OVER w - 1 AS k, count(*) OVER (PARTITION BY symbol) AS n, lead(date, 1) OVER w AS first_tradable, lead(close, 1) OVER w AS c1, lead(close, 5) OVER w AS c5, lead(close, 20) OVER w AS c20
+PANEL = """panel AS (SELECT CAST(l_suppkey AS VARCHAR) AS symbol, strftime(l_shipdate, '%Y-%m-%d') AS date, CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS DOUBLE) / 100 AS close,
+  CAST(max(CAST(round(l_extendedprice * 100) AS BIGINT)) AS DOUBLE) / 100 AS open FROM lineitem GROUP BY 1, 2),
+s AS (SELECT *, row_number() OVER w - 1 AS k, count(*) OVER (PARTITION BY symbol) AS n, lead(date, 1) OVER w AS first_tradable, lead(open, 1) OVER w AS o1,
+  lead(close, 1) OVER w AS c1, lead(close, 5) OVER w AS c5, lead(close, 20) OVER w AS c20, lead(date, 5) OVER w AS d5, lead(date, 20) OVER w AS d20
   FROM panel WINDOW w AS (PARTITION BY symbol ORDER BY date)),
 ev AS (SELECT DISTINCT o_custkey AS event_id, CAST(l_suppkey AS VARCHAR) AS symbol, '1998-06-15' AS event_date, CASE WHEN o_custkey % 2 = 0 THEN 'pre_market' ELSE 'after' END AS bucket FROM orders JOIN lineitem ON l_orderkey = o_orderkey),
-base AS (SELECT event_id, ev.symbol, s.date, s.close, k, n, first_tradable, c1, c5, c20 FROM ev JOIN s ON s.symbol = ev.symbol AND (s.date < event_date OR (bucket <> 'pre_market' AND s.date = event_date))
+base AS (SELECT event_id, ev.symbol, s.date, s.close, k, n, first_tradable, o1, c1, c5, c20, d5, d20 FROM ev JOIN s ON s.symbol = ev.symbol AND (s.date < event_date OR (bucket <> 'pre_market' AND s.date = event_date))
   QUALIFY row_number() OVER (PARTITION BY event_id, ev.symbol ORDER BY s.date DESC) = 1)"""
 
 
 def _panel(spark, d) -> DataFrame:
-    cents = F.sum(F.round(F.col("l_extendedprice") * 100).cast("long")).cast("double") / 100
-    return _read(spark, d, "lineitem").groupBy(F.col("l_suppkey").cast("string").alias("symbol"), F.date_format("l_shipdate", "yyyy-MM-dd").alias("date")).agg(cents.alias("close"))
+    cents = F.round(F.col("l_extendedprice") * 100).cast("long")
+    days = _read(spark, d, "lineitem").groupBy(F.col("l_suppkey").cast("string").alias("symbol"), F.date_format("l_shipdate", "yyyy-MM-dd").alias("date"))
+    return days.agg((F.sum(cents).cast("double") / 100).alias("close"), (F.max(cents).cast("double") / 100).alias("open"), F.count("*").alias("volume")).withColumns(
+        {"low": F.least("open", "close"), "high": F.greatest("open", "close")}
+    )
 
 
 def _priced_events(spark, d) -> DataFrame:
@@ -346,9 +351,13 @@ def j18_base_sessions(spark, d):
     return market.base_sessions(_priced_events(spark, d), _panel(spark, d)).select("event_id", "symbol", "date", F.col("k").cast("long").alias("k"), F.col("first_date").alias("first_tradable"))
 
 
-@_query(f"""WITH {PANEL}, l AS (SELECT event_id, symbol, date AS base_close_date, first_tradable, round((c1 / close - 1) * 100, 3) AS ret_1d, round((c5 / close - 1) * 100, 3) AS ret_5d,
-  round((c20 / close - 1) * 100, 3) AS ret_20d, count(*) OVER (PARTITION BY event_id) AS n_labels FROM base WHERE k >= 15 AND k + 21 <= n)
-SELECT *, CAST(row_number() OVER (PARTITION BY event_id ORDER BY ret_20d DESC, symbol) AS INTEGER) AS rank_20d FROM l WHERE n_labels >= 3""")
+LABELS = PANEL + """, l AS (SELECT event_id, symbol, date AS base_close_date, round(close, 4) AS base_close, first_tradable, round((o1 / close - 1) * 100, 3) AS gap, """ + ", ".join(
+    f"round((c{n} / {a} - 1) * 100, 3) AS {p}ret_{n}d" for a, p in (("close", ""), ("o1", "open_")) for n in (1, 5, 20)
+) + """, first_tradable AS date_1d, d5 AS date_5d, d20 AS date_20d, count(*) OVER (PARTITION BY event_id) AS n_labels FROM base WHERE k >= 15 AND k + 21 <= n),
+labels AS (SELECT *, CAST(row_number() OVER (PARTITION BY event_id ORDER BY ret_20d DESC, symbol) AS INTEGER) AS rank_20d FROM l WHERE n_labels >= 3)"""
+
+
+@_query(f"WITH {LABELS} SELECT * FROM labels")
 def c15_labels(spark, d):
     return market.labels(_priced_events(spark, d), _panel(spark, d))
 
@@ -360,13 +369,16 @@ def a28_consensus_calendar(spark, d):
     return assembly.consensus_calendar(base.select("event_id", F.col("date").alias("base_close_date")))
 
 
-@_query("""WITH b AS (SELECT user_id AS event_id, event_type AS symbol, timezone('America/New_York', timezone('UTC', ts)) AS l, value FROM events)
-SELECT event_id, symbol, strftime(l, '%Y-%m-%d') AS date, count(*) AS bar_count, min(strftime(l, '%H:%M')) AS first_t, max(strftime(l, '%H:%M')) AS last_t, false AS complete
-FROM b WHERE strftime(l, '%H:%M') BETWEEN '09:30' AND '15:59' GROUP BY 1, 2, 3""")
+@_query("""WITH b AS (SELECT event_id // 390 AS g, event_id % 390 AS m FROM events WHERE NOT (event_id // 390 % 3 = 1 AND event_id % 390 < 6) AND NOT (event_id // 390 % 3 = 2 AND event_id % 390 % 40 = 7))
+SELECT g AS event_id, '2024-03-15' AS date, count(*) AS bar_count, strftime(TIMESTAMP '2024-03-15 09:30:00' + to_minutes(min(m)), '%H:%M') AS first_t,
+  strftime(TIMESTAMP '2024-03-15 09:30:00' + to_minutes(max(m)), '%H:%M') AS last_t, count(*) >= 380 AND min(m) <= 5 AND max(m) >= 385 AS complete FROM b GROUP BY g""")
 def a27_intraday_panels(spark, d):
-    e = _read(spark, d, "events").select(F.col("user_id").alias("event_id"), F.col("event_type").alias("symbol"), "ts", *[F.col("value").alias(c) for c in ("open", "high", "low", "close", "volume")])
-    p = market.intraday_panel(e)
-    return p.select("event_id", "symbol", "date", F.col("bar_count").cast("long").alias("bar_count"), F.get("bars", F.lit(0))["t"].alias("first_t"), F.element_at("bars", -1)["t"].alias("last_t"), "complete")
+    g, m = F.floor(F.col("event_id") / 390), F.col("event_id") % 390
+    e = _read(spark, d, "events").filter(~((g % 3 == 1) & (m < 6)) & ~((g % 3 == 2) & (m % 40 == 7)))
+    at = F.timestamp_seconds(F.unix_timestamp(F.lit("2024-03-15 13:30:00").cast("timestamp")) + m * 60)
+    out = e.select(g.alias("event_id"), F.lit("A").alias("symbol"), at.alias("ts"), *[F.col("value").alias(c) for c in ("open", "high", "low", "close", "volume")])
+    p = market.intraday_panel(out)
+    return p.select("event_id", "date", F.col("bar_count").cast("long").alias("bar_count"), F.get("bars", F.lit(0))["t"].alias("first_t"), F.element_at("bars", -1)["t"].alias("last_t"), "complete")
 
 
 def _story_index(spark, d) -> DataFrame:
@@ -412,9 +424,24 @@ def a24_templates(spark, d):
     return funnel.mine_templates(p, subjects=2, share=0.0)
 
 
-@_query()
+HOLD = r"""t AS (SELECT p_partkey, '"' || p_name || '" (' || p_size || '), Acme & A&B/C Co.: ' || CASE WHEN p_partkey % 3 = 0 THEN p_brand ELSE 'new' END || ' is on Sale; X' || CASE WHEN p_size % 5 = 0 THEN ' horoscope' ELSE '' END AS title FROM part),
+w AS (SELECT p_partkey, unnest(string_split(title, ' ')) AS w, unnest(range(1, 30)) AS i FROM t),
+b AS (SELECT p_partkey, i, trim(w, '(),:;"' || chr(39) || '“”|') AS w FROM w WHERE w IS NOT NULL AND w <> ''),
+m AS (SELECT *, CASE WHEN regexp_matches(w, '\\d') THEN '#' WHEN regexp_full_match(w, '[A-Z][A-Za-z.&' || chr(39) || '’-]*|[A-Z0-9.-]{2,8}') THEN '@' ELSE lower(w) END AS k FROM b),
+s AS (SELECT p_partkey, string_agg(k, ' ' ORDER BY i) AS skel FROM (SELECT *, lag(k) OVER (PARTITION BY p_partkey ORDER BY i) AS before FROM m) WHERE k <> '@' OR coalesce(before, '') <> '@' GROUP BY 1),
+z AS (SELECT skel, p_partkey % 2 = 1 AS late, title LIKE '%horoscope%' AS rx FROM s JOIN t USING (p_partkey)),
+t1 AS (SELECT skel FROM z WHERE NOT late GROUP BY skel HAVING count(*) >= 3), t2 AS (SELECT skel FROM z WHERE late GROUP BY skel HAVING count(*) >= 3),
+e AS (SELECT rx, skel IN (FROM t1) AS a, skel IN (FROM t2) AS b FROM z WHERE late)""".replace("\\\\", "\\")
+
+
+@_query(f"""WITH {HOLD} SELECT (SELECT count(*) FROM t1) AS h1, (SELECT count(*) FROM t2) AS h2, (SELECT count(*) FROM t1 JOIN t2 USING (skel)) AS shared, (SELECT count(*) FROM t2 WHERE skel NOT IN (FROM t1)) AS drift,
+  count(*) AS h2_rows, count(*) FILTER (a) AS by_t1, count(*) FILTER (b) AS by_t2, count(*) FILTER (rx) AS by_rules, count(*) FILTER (a AND rx) AS by_both, count(*) FILTER (rx AND NOT a) AS only_rules,
+  count(*) FILTER (a AND NOT rx) AS only_t1, count(*) FILTER (b AND NOT a) AS drift_rows, round(count(*) FILTER (a) / greatest(count(*) FILTER (b), 1), 3) AS kept_share FROM e""")
 def a25_holdout(spark, d):
-    return funnel.holdout(_titled(spark, d).withColumn("day", F.date_format("day", "yyyy-MM-dd")), "2026-01-01", least=2, subjects=1, share=0.0, fixed=1)
+    brand, ending = F.when(F.col("p_partkey") % 3 == 0, F.col("p_brand")).otherwise("new"), F.when(F.col("p_size") % 5 == 0, " horoscope").otherwise("")
+    title = F.concat(F.lit('"'), "p_name", F.lit('" ('), F.col("p_size").cast("string"), F.lit("), Acme & A&B/C Co.: "), brand, F.lit(" is on Sale; X"), ending)
+    rows = _read(spark, d, "part").select(title.alias("title"), F.lit("s").alias("src"), F.when(F.col("p_partkey") % 2 == 1, "2026-02-01").otherwise("2025-02-01").alias("day"))
+    return funnel.holdout(rows, "2026-01-01", least=3, subjects=1, share=0.0, fixed=1)
 
 
 @_query("SELECT o_custkey AS k FROM orders EXCEPT SELECT c_custkey FROM customer WHERE c_mktsegment = 'MACHINERY'")
@@ -467,7 +494,7 @@ def p07_page_texts(spark, d):
 @_query()
 def c03_near_duplicates(spark, d):
     doc = _keyed(spark, d).join(_read(spark, d, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("body")), "id")
-    doc = doc.withColumns({"title": F.substring("body", 1, 80), "host": F.col("source"), "content_type": F.lit("US_NEWS")})
+    doc = doc.withColumns({"title": F.split("body", "\n")[0], "host": F.col("source"), "content_type": F.lit("US_NEWS")})
     pairs, losers = dedup.near(settle(dedup.exact(doc)[0], "winners"))
     return losers.select("loser", "canonical_id", "dedup_key")
 
@@ -478,7 +505,7 @@ def c01_ingest(spark, d):
         F.lit("content_batch_1.ndjson").alias("file"), F.col("page_id").alias("line_no"),
         F.when(F.col("page_id") % 11 == 0, "{broken").otherwise(F.to_json(F.struct(
             F.col("page_id").cast("string").alias("_id"), F.when(F.col("page_id") % 7 == 0, "US_NOTICE").otherwise("US_NEWS").alias("businessCode"), F.lit(1).alias("type"),
-            F.substring("html", 1, 60).alias("title"), F.col("html").alias("content"), (F.lit(1700000000) + F.col("page_id")).alias("ctime"), F.struct(F.col("url").alias("sourceUrl")).alias("news"),
+            F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1).alias("title"), F.col("html").alias("content"), (F.lit(1700000000) + F.col("page_id")).alias("ctime"), F.struct(F.col("url").alias("sourceUrl")).alias("news"),
         ))).alias("raw"),
     )
     from eventloom.functions import keys
@@ -501,13 +528,218 @@ def p09_norm_dates(spark, d):
     return p.select("page_id", T.norm_date(day).alias("d"))
 
 
-@_query()
+@_query(f"""WITH {TITLED} SELECT id, upper(bucket) AS bucket, 'company' AS track FROM titled WHERE body_len >= 200 AND title <> '' AND regexp_full_match(upper(bucket), '[A-Z][A-Z0-9.-]{{0,5}}')""")
 def w01_event_pool(spark, d):
     doc = _titled(spark, d).select("id", F.lit("US_NEWS").alias("content_type"), F.date_format("day", "yyyy-MM-dd").alias("pub_date"), "body_len", "title", F.lit("").alias("tags"),
                                    F.upper("bucket").alias("symbols"), F.lit(1).alias("n_symbols"), F.lit(False).alias("has_crypto"))
     return cluster.pool(doc).select("id", "bucket", "track")
 
 
+PARA = """para AS (SELECT 'p' || (conv_id % 3) || '.jsonl' AS file, conv_id * 100 + turn AS line_no, 'D' || (conv_id % 7) AS doc_id, role || ' ' || turn AS title, '2025-03-1' || (turn % 9) AS day, text, turn, conv_id FROM conversations WHERE turn % 5 <> 4)"""
+
+
+def _paragraphs(spark, d) -> DataFrame:
+    """conversations as JSON lines of paragraphs, some of them broken."""
+    source = F.concat(F.lit("{'name': 'desk's "), F.col("conv_id").cast("string"), F.lit("', 'url': None}"))
+    codes = F.concat(F.lit("{'related_codes': ['AAPL.O', 'S"), F.col("turn").cast("string"), F.lit(".X', 'AAPL.O']}"))
+    record = F.to_json(F.struct(
+        F.concat(F.lit("D"), F.col("conv_id") % 7).alias("doc_id"), F.lit("report").alias("source_type"), F.concat_ws(" ", "role", "turn").alias("title"),
+        F.concat(F.lit("2025-03-1"), F.col("turn") % 9, F.lit("T00:00:00Z")).alias("published_at"), "text", source.alias("source"), codes.alias("context"),
+    ))
+    return _read(spark, d, "conversations").select(
+        F.concat(F.lit("p"), F.col("conv_id") % 3, F.lit(".jsonl")).alias("file"), (F.col("conv_id") * 100 + F.col("turn")).alias("line_no"), F.when(F.col("turn") % 5 == 4, "{bad").otherwise(record).alias("raw")
+    )
+
+
+@_query(f"""WITH {PARA}, heads AS (SELECT * FROM para QUALIFY row_number() OVER (PARTITION BY file, doc_id ORDER BY line_no) = 1),
+c AS (SELECT file, doc_id, count(*) AS n_paragraphs, CAST(sum(coalesce(length(text), 0)) AS BIGINT) AS text_len, string_agg(line_no, ',' ORDER BY line_no) AS lines FROM para GROUP BY 1, 2)
+SELECT file, doc_id, 'report' AS source_type, title, day || 'T00:00:00Z' AS published_at, 'AAPL,S' || turn || '.X' AS symbols, 'desk' || chr(39) || 's ' || conv_id AS source_name, day AS pub_date, n_paragraphs, text_len, lines
+FROM heads JOIN c USING (file, doc_id)""")
+def a10_paragraph_index(spark, d):
+    return records.paragraph_index(records.parsed_paragraphs(_paragraphs(spark, d)))
+
+
+@_query(f"""WITH {PARA} SELECT (SELECT count(*) FROM pages) AS v1_rows, count(*) AS v2_paragraphs, count(DISTINCT file || doc_id) AS v2_docs, count(DISTINCT file) + 1 AS files_ok FROM para""")
+def a29_index_summary(spark, d):
+    v1 = _read(spark, d, "pages").select(F.lit("v1.jsonl").alias("file"))
+    return records.index_summary(v1, records.paragraph_index(records.parsed_paragraphs(_paragraphs(spark, d))))
+
+
+@_query("""WITH r AS (SELECT source AS file, lang, CASE WHEN length(text) < 300 THEN 'empty_body' WHEN doc_id % 9 = 0 THEN 'missing_id' END AS bad, CASE WHEN doc_id % 2 = 0 THEN 'id' ELSE 'source_url' END AS m FROM documents),
+l AS (SELECT file, unnest(CASE WHEN bad IS NULL THEN ['input', 'accepted', 'type:' || lang, 'dedup:' || m] ELSE ['input', 'rejected', 'reject:' || bad] END) AS what FROM r)
+SELECT file, what, count(*) AS n FROM l GROUP BY 1, 2""")
+def p14_batch_stats(spark, d):
+    reason = F.when(F.length("text") < 300, "empty_body").when(F.col("doc_id") % 9 == 0, "missing_id")
+    rows = _read(spark, d, "documents").select(F.col("source").alias("file"), F.col("lang").alias("content_type"), reason.alias("reject_reason"), F.when(F.col("doc_id") % 2 == 0, "id").otherwise("source_url").alias("dedup_method"))
+    return records.batch_stats(rows)
+
+
+@_query("""SELECT p_partkey AS k, '{"p_partkey":' || p_partkey || ',"a":["' || p_brand || '"]' || CASE WHEN p_size % 2 = 0 THEN ',"s":{"t":{"u":"' || p_name || '"}}' ELSE '' END || ',"z":{"n":0,"f":false}}' AS j FROM part""")
+def p12_pruned(spark, d):
+    name = F.when(F.col("p_size") % 2 == 0, F.concat(F.lit(" "), "p_name", F.lit("  "))).otherwise("  ")
+    rows = _read(spark, d, "part").select(
+        "p_partkey", F.array(F.lit(""), F.concat(F.lit(" "), "p_brand"), F.lit(None).cast("string")).alias("a"), F.struct(F.struct(name.alias("u"), F.array(F.lit(" ")).alias("v")).alias("t"), F.lit("").alias("w")).alias("s"),
+        F.struct(F.lit(0).alias("n"), F.lit(False).alias("f"), F.lit("").alias("e")).alias("z"), F.lit("x").alias("_work"),
+    )
+    slim = records.pruned(rows)
+    return slim.select(F.col("p_partkey").alias("k"), F.to_json(F.struct(*slim.columns)).alias("j"))
+
+
+@_query("""SELECT o_orderkey AS id, coalesce(c_nationkey + 1000000, o_custkey) AS canonical_id FROM orders LEFT JOIN customer ON c_custkey = o_custkey AND c_mktsegment = 'MACHINERY'""")
+def j01_folded_canonicals(spark, d):
+    losers = _read(spark, d, "customer").filter("c_mktsegment = 'MACHINERY'").select(F.col("c_custkey").alias("loser"), (F.col("c_nationkey") + 1_000_000).cast("long").alias("canonical_id"))
+    return dedup.fold_canonicals(_read(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("canonical_id")), losers)
+
+
+def _forms(spark, d) -> DataFrame:
+    title = F.element_at(F.array(*[F.lit(t) for t in ("Form 8-K x", "A Form 424B2", "Form 10-Q/A", "none")]), (F.col("page_id") % 4 + 1).cast("int"))
+    kind = F.element_at(F.array(*[F.lit(t) for t in ("notice", "report", "notice", "teleconference", "notice", "blog", "notice")]), (F.col("page_id") % 7 + 1).cast("int"))
+    return _read(spark, d, "pages").select("page_id", title.alias("title"), kind.alias("source_type"), F.date_format(F.date_add(F.lit("2025-01-01").cast("date"), (F.col("page_id") % 90).cast("int")), "yyyy-MM-dd").alias("pub_date"))
+
+
+@_query("""WITH p AS (SELECT page_id, ['Form 8-K x', 'A Form 424B2', 'Form 10-Q/A', 'none'][page_id % 4 + 1] AS title, ['notice', 'report', 'notice', 'teleconference', 'notice', 'blog', 'notice'][page_id % 7 + 1] AS kind, page_id % 90 AS day FROM pages)
+SELECT mode, page_id FROM p, (VALUES ('none'), ('8k'), ('material'), ('all')) m(mode) WHERE day >= 31 AND day < 59 AND (kind IN ('report', 'teleconference')
+  OR (kind = 'notice' AND (mode = 'all' OR (mode = '8k' AND title LIKE '%Form 8-K%') OR (mode = 'material' AND regexp_matches(title, 'Form (8-K|10-Q|10-K|6-K|20-F|425)')))))""")
+def w14_export_window(spark, d):
+    out = None
+    for mode in records.NOTICE_MODES:
+        one = records.export_window(_forms(spark, d), "2025-02-01", "2025-03-01", mode).select(F.lit(mode).alias("mode"), "page_id")
+        out = one if out is None else out.union(one)
+    return out
+
+
+@_query(f"WITH {MEMBERS} SELECT id FROM members WHERE CAST(pub_date AS DATE) BETWEEN DATE '1996-05-25' AND DATE '1996-06-08'")
+def w02_day_margin(spark, d):
+    return cluster.day_margin(_members(spark, d), "1996-06-01").select("id")
+
+
+@_query(f"WITH {STATS} SELECT count(*) AS clusters_total, count(*) FILTER (n_articles >= 3) AS clusters_ge3, count(*) FILTER (n_articles >= 10) AS clusters_ge10 FROM stats")
+def a16_sizes(spark, d):
+    return funnel.at_least(cluster.event_stats(_members(spark, d)))
+
+
+@_query(f"""WITH {STATS}, big AS (SELECT event_id, n_articles FROM stats WHERE n_articles >= 5 ORDER BY n_articles DESC, event_id LIMIT 25)
+SELECT event_id, any_value(n_articles) AS n_articles, string_agg(title, ';' ORDER BY body_len DESC, id) AS titles
+FROM (SELECT * FROM members QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY body_len DESC, id) <= 8) JOIN big USING (event_id) GROUP BY event_id""")
+def o06_largest(spark, d):
+    m = _members(spark, d)
+    return funnel.largest(cluster.event_stats(m), selection.sample_titles(m, 8)).select("event_id", "n_articles", F.array_join("titles", ";").alias("titles"))
+
+
+@_query("SELECT p_brand AS skel, count(*) AS freq, row_number() OVER (ORDER BY count(*) DESC, p_brand) AS place FROM part GROUP BY p_brand")
+def o07_templates(spark, d):
+    return funnel.by_frequency(_read(spark, d, "part").groupBy(F.col("p_brand").alias("skel")).agg(F.count("*").alias("freq")))
+
+
+@_query("""SELECT o_custkey AS event_id, count(DISTINCT o_orderstatus) AS n_clusters, strftime(min(o_orderdate), '%Y-%m-%d') AS first_day, strftime(max(o_orderdate), '%Y-%m-%d') AS last_day,
+  max(CASE WHEN o_orderkey % 9 = 0 THEN 'macro' ELSE 'company' END) AS track, count(*) AS n_articles FROM orders GROUP BY o_custkey""")
+def u08_merged_spans(spark, d):
+    o = _read(spark, d, "orders").select(F.col("o_custkey").alias("event_id"), F.concat_ws("|", "o_custkey", "o_orderstatus").alias("cid"), F.col("o_orderkey").alias("id"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"))
+    track = F.max(F.when(F.col("id") % 9 == 0, "macro").otherwise("company")).alias("track")
+    return cluster.merged_spans(o, o.groupBy("cid").agg(F.min("day").alias("first_day"), F.max("day").alias("last_day"), track))
+
+
+@_query("""SELECT page_id, CASE page_id % 4 WHEN 0 THEN url WHEN 1 THEN url WHEN 2 THEN 'https://x.com/a' END AS u FROM pages""")
+def f40_source_urls(spark, d):
+    p = _read(spark, d, "pages")
+    made = F.when(F.col("page_id") % 4 == 0, F.to_json(F.struct("url"))).when(F.col("page_id") % 4 == 1, F.concat(F.lit("{'name': 'x', 'url': '"), "url", F.lit("'}"))).when(F.col("page_id") % 4 == 2, "see https://x.com/a 'or' http://y.com").otherwise("none")
+    return p.select("page_id", filings.source_url(made).alias("u"))
+
+
+@_query(f"""WITH {MEMBERS}, one AS (SELECT * FROM members WHERE event_id % 2 = 1 QUALIFY row_number() OVER (PARTITION BY event_id, substr(lower(title), 1, 60) ORDER BY body_len DESC, id) = 1),
+top AS (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY body_len DESC, id) AS rk FROM one QUALIFY rk <= 8),
+p AS (SELECT event_id, rk, id, '--- ' || rk || ' [' || pub_date || '] ' || source_name || ' ---' || chr(10) || title || chr(10) || CASE WHEN id % 4 = 0 THEN '(empty)' ELSE 'a & b ' || id END AS part FROM top)
+SELECT event_id, CAST(count(*) AS INTEGER) AS n_members, string_agg(id, ',' ORDER BY rk) AS ids, string_agg(part, chr(10) || chr(10) ORDER BY rk) AS articles FROM p GROUP BY event_id""")
+def c11_structure_inputs(spark, d):
+    m = _members(spark, d)
+    bodies = m.filter("id % 4 <> 0").select("id", F.concat(F.lit("<p>a &amp;\n b</p> "), "id").alias("body"))
+    out = selection.structure_inputs(m.filter("event_id % 2 = 1").select("event_id"), m, bodies)
+    return out.select("event_id", "n_members", F.array_join("source_ids", ",").alias("ids"), "articles")
+
+
+@_query(f"""WITH {LABELS} SELECT event_id, symbol FROM ev WHERE event_id IN (SELECT event_id FROM labels) AND NOT EXISTS (SELECT 1 FROM labels x WHERE x.event_id = ev.event_id AND x.symbol = ev.symbol)""")
+def c15_unpriced(spark, d):
+    ev, panel = _priced_events(spark, d), settle(_panel(spark, d), "panel")
+    return market.unpriced(ev, market.labels(ev, panel))
+
+
+@_query(f"""WITH {LABELS}, p AS (SELECT symbol, date, row_number() OVER (PARTITION BY symbol ORDER BY date) AS r FROM panel)
+SELECT event_id, l.symbol, CAST(15 AS INTEGER) AS n_model, CAST(20 AS INTEGER) AS n_audit, a.date AS first_model, base_close_date AS last_model, first_tradable AS first_audit, date_20d AS last_audit
+FROM labels l JOIN p b ON b.symbol = l.symbol AND b.date = base_close_date JOIN p a ON a.symbol = l.symbol AND a.r = b.r - 14""")
+def c15_price_windows(spark, d):
+    panel = settle(_panel(spark, d), "panel")
+    w = market.price_windows(market.labels(_priced_events(spark, d), panel), panel)
+    ends = {"first_model": ("model_input", 1), "last_model": ("model_input", -1), "first_audit": ("label_audit", 1), "last_audit": ("label_audit", -1)}
+    return w.select("event_id", "symbol", F.size("model_input").alias("n_model"), F.size("label_audit").alias("n_audit"), *[F.element_at(c, i)["date"].alias(n) for n, (c, i) in ends.items()])
+
+
+@_query(f"""WITH {TITLED}, ev AS (SELECT item_id AS event_id, DATE '2026-01-02' AS d, 'S' || (item_id % 20) AS sym FROM benchmark),
+hit AS (SELECT event_id, CAST(id AS VARCHAR) AS id, strftime(day, '%Y-%m-%d') || 'T00:00:00Z' AS p, CASE WHEN id % 3 = 0 THEN 'Flash' ELSE 'News' END AS category, substr(lower(regexp_replace(title, '\\s+', ' ', 'g')), 1, 80) AS tk
+  FROM ev JOIN titled ON day BETWEEN d - 3 AND d + 1 AND 'S' || (id % 20) = sym),
+one AS (SELECT * FROM hit QUALIFY row_number() OVER (PARTITION BY event_id, category, tk ORDER BY p, TRY_CAST(id AS BIGINT)) = 1),
+ten AS (SELECT * FROM one QUALIFY row_number() OVER (PARTITION BY event_id, category ORDER BY p, TRY_CAST(id AS BIGINT)) <= 10),
+used AS (SELECT item_id AS event_id, 'u' || i AS id, '2025-12-3' || i || 'T00:00:00Z' AS p, CASE WHEN i = 0 THEN 'Flash' ELSE 'News' END AS category, CASE WHEN i < 3 THEN 'used ' || (i % 2) ELSE '' END AS tk
+  FROM benchmark, (VALUES (0), (1), (2), (3)) v(i) WHERE i <> 2),
+whole AS (SELECT *, 1 AS turn FROM ten UNION ALL SELECT *, 0 FROM used),
+kept AS (SELECT * FROM whole QUALIFY row_number() OVER (PARTITION BY event_id, category, tk ORDER BY p, turn, id) = 1)
+SELECT event_id, id, category, CAST(row_number() OVER (PARTITION BY event_id, category ORDER BY p, turn, id) AS INTEGER) AS rk FROM kept QUALIFY rk <= 10""")
+def c17_with_sources(spark, d):
+    b = _read(spark, d, "benchmark")
+    ev = b.select(F.col("item_id").alias("event_id"), F.lit("2026-01-02").alias("event_date"), F.array(F.concat(F.lit("S"), F.col("item_id") % 20)).alias("symbols"), F.lit("").alias("pattern"))
+    i = F.col("i")
+    used = b.select(F.col("item_id").alias("event_id"), F.explode(F.array(F.lit(0), F.lit(1), F.lit(3))).alias("i")).select(
+        "event_id", F.concat(F.lit("u"), i).alias("id"), F.concat(F.lit("2025-12-3"), i, F.lit("T00:00:00Z")).alias("published_at"), F.when(i < 3, F.concat(F.lit("Used "), i % 2)).alias("title"),
+        F.when(i == 0, "us_flash").when(i == 1, "US_NOTICE").alias("content_type"), F.lit("u").alias("url"),
+    )
+    return assembly.with_sources(assembly.related(ev, _story_index(spark, d)), used).select("event_id", "id", "category", "rk")
+
+
+def _cases(spark, d):
+    """customers as structured events with relations to suppliers: (structured, labels, prices, minutes)."""
+    name = lambda c: F.concat(F.lit("EVT_"), F.lpad(F.col(c).cast("string"), 6, "0")).alias("event_id")
+    panel = settle(_panel(spark, d).withColumn("symbol", F.concat(F.lit("S"), "symbol")), "panel")
+    ev = _priced_events(spark, d).select(name("event_id"), F.concat(F.lit("S"), "symbol").alias("symbol"), "event_date", "bucket")
+    labelled = settle(market.labels(ev, panel), "labels")
+    k = F.col("c_custkey")
+    near = lambda i: F.concat(F.lit("s"), (k % 7 + i + 1).cast("string"))
+    relation = lambda i: F.struct(near(i).alias("symbol"), F.lit("Co").alias("company"), *[F.lit("").alias(c) for c in ("relation_type", "evidence_statement", "relation_type_cn", "impact_path_cn")], F.array().cast("array<string>").alias("relation_path"))
+    fact = lambda i: F.struct(F.lit("m").alias("metric"), F.lit("1").alias("value"), F.when(k % 13 == i, "by 2026-01-01").otherwise("").alias("context"))
+    structured = _read(spark, d, "customer").select(
+        name("c_custkey"), F.when(k % 3 == 1, F.concat(F.lit("case-x"), F.col("c_nationkey"))).otherwise("x").alias("case_id"), F.lit("t").alias("case_title"), F.lit("").alias("event_family"), F.lit("").alias("event_type"),
+        F.col("c_name").alias("event_subject"), F.lit("company").alias("event_subject_type"), F.when(k % 11 == 0, "1998/06/15").otherwise("1998-06-15").alias("event_date"), F.lit("u").alias("official_source_url"),
+        F.array(F.lit("S1")).alias("primary_symbols"), F.array(F.lit("d1"), F.lit("d2")).alias("source_ids"), F.slice(F.array(*[fact(i) for i in range(3)]), F.lit(1), (k % 3 + 1).cast("int")).alias("facts"),
+        F.array(F.lit("c"), F.when(k % 7 == 3, "").otherwise("d")).alias("channels"), F.slice(F.array(*[relation(i) for i in range(7)]), F.lit(1), (k % 4 + 4).cast("int")).alias("relations"),
+    )
+    minutes = structured.filter("substring(event_id, -1) NOT IN ('0', '5')").select("event_id", F.create_map(F.lit("S1"), F.lit("bars"), F.lit("T9"), F.lit("bars")).alias("symbols"))
+    return structured, labelled, market.price_windows(labelled, panel), minutes
+
+
+CASES = LABELS + """, c AS (SELECT c_custkey AS k, 'EVT_' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS event_id,
+  CASE WHEN c_custkey % 3 = 1 THEN 'CASE_X' || c_nationkey ELSE 'S1_EVT_' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') END AS cid FROM customer WHERE c_custkey IN (SELECT event_id FROM labels)),
+r AS (SELECT k, count(*) FILTER ((k, CAST(k % 7 + i + 1 AS VARCHAR)) IN (SELECT (event_id, symbol) FROM labels)) AS priced FROM c, (SELECT unnest(range(7)) AS i) WHERE i < k % 4 + 4 GROUP BY k),
+z AS (SELECT c.*, priced, (SELECT count(*) FROM labels WHERE event_id = k) AS n_labels, CASE WHEN k % 3 < 1 THEN 'few_facts' WHEN k % 7 = 3 THEN 'few_channels' WHEN k % 4 < 1 THEN 'few_relations' WHEN priced < 3 THEN 'few_priced'
+  WHEN k % 5 = 0 OR (k, '1') NOT IN (SELECT (event_id, symbol) FROM labels) THEN 'no_intraday' WHEN k % 11 = 0 THEN 'form' END AS drop_reason FROM c JOIN r USING (k)),
+cases AS (SELECT *, CAST(least(k % 3 + 1, 3) > k % 13 AS INTEGER) AS n_leaks, CAST(CASE WHEN k % 11 = 0 THEN 2 ELSE 0 END + CASE WHEN k % 3 < 1 THEN 1 ELSE 0 END + CASE WHEN k % 7 = 3 THEN 1 ELSE 0 END + CASE WHEN k % 4 < 1 THEN 1 ELSE 0 END AS INTEGER) AS n_issues,
+  cid || CASE WHEN drop_reason IS NULL AND row_number() OVER (PARTITION BY cid, drop_reason IS NULL ORDER BY event_id) > 1 THEN '_' || right(event_id, 4) ELSE '' END AS case_id FROM z)"""
+
+
+@_query(f"WITH {CASES} SELECT event_id, drop_reason, n_leaks, n_issues, case_id, case_id AS main_id, CAST(n_labels AS INTEGER) AS n_labels, priced AS n_priced FROM cases")
+def c18_cases(spark, d):
+    structured, labelled, prices, minutes = _cases(spark, d)
+    found = structured.select("event_id", F.lit("News").alias("category"), F.lit(1).alias("rk"), F.lit("t").alias("title"), F.lit("p").alias("published_at"), F.lit(None).cast("string").alias("url")).limit(0)
+    out = assembly.assemble(structured, labelled, prices, found, minutes)
+    priced = F.size(F.filter("case.target_relation_evidence.rows", lambda r: r["priced_label_status"] == vocab.PRICED)).cast("long")
+    return out.select("event_id", "drop_reason", F.size("leaks").alias("n_leaks"), F.size("issues").alias("n_issues"), "case.case_id", F.col("case.main_event.event_id").alias("main_id"), F.size("case.supervised_targets_hidden_labels.labels").alias("n_labels"), priced.alias("n_priced"))
+
+
+@_query(f"""WITH {CASES} SELECT (SELECT count(*) FROM customer) AS structured_in, count(*) AS with_market, count(*) FILTER (drop_reason IS NULL) AS cases_written,
+  (SELECT count(*) FROM customer) - count(*) FILTER (drop_reason IS NULL) AS dropped, count(*) FILTER (n_leaks + n_issues > 0 OR drop_reason IS NOT NULL) AS events_with_issues FROM cases""")
+def c18_summary(spark, d):
+    structured, labelled, prices, minutes = _cases(spark, d)
+    found = structured.select("event_id", F.lit("News").alias("category"), F.lit(1).alias("rk"), F.lit("t").alias("title"), F.lit("p").alias("published_at"), F.lit(None).cast("string").alias("url"))
+    return assembly.case_summary(structured, labelled, assembly.assemble(structured, labelled, prices, found, minutes))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 

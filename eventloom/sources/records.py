@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructType
 
 from eventloom.functions import text as T
 from eventloom.functions import vocab
@@ -19,11 +20,17 @@ language string, materialId string, extensions struct<uid:string>"""
 
 
 def read_lines(spark: SparkSession, paths) -> DataFrame:
-    """(file, line_no, raw): non-blank lines of files, trimmed. Numbers start at 1 and count blank
-    lines; they are counted by file, so one task reads one file from its start."""
-    whole = spark.read.option("wholetext", True).text(paths).select(F.element_at(F.split("_metadata.file_path", "/"), -1).alias("file"), "value")
-    lines = whole.select("file", F.posexplode(F.split("value", "\n")).alias("i", "raw"))
-    return lines.select("file", (F.col("i") + 1).alias("line_no"), F.trim(F.regexp_replace("raw", "\r$", "")).alias("raw")).filter("raw <> ''")
+    """(file, line_no, raw): non-blank lines of files, trimmed. Numbers start at 1 and count blank lines.
+    Files are read in splits of any number: rows of a split come in order in one partition, so their place
+    in it is a difference of ids, and only the line counts of splits are added up by file."""
+    at = F.col("_metadata")
+    lines = spark.read.option("lineSep", "\n").text(paths).select(at["file_path"].alias("path"), at["file_block_start"].alias("start"), F.monotonically_increasing_id().alias("seq"), "value")
+    splits = lines.groupBy("path", "start").agg(F.count("*").alias("c"), F.min("seq").alias("first"))
+    ahead = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select("path", "start", "first", F.coalesce(F.sum("c").over(ahead), F.lit(0)).alias("before"))
+    numbered = lines.join(splits, ["path", "start"]).withColumn("line_no", F.col("before") + F.col("seq") - F.col("first") + 1)
+    named = F.element_at(F.split("path", "/"), -1).alias("file")
+    return numbered.select(named, "line_no", F.trim(F.regexp_replace("value", "\r$", "")).alias("raw")).filter("raw <> ''")
 
 
 def batch_number(file) -> Column:
@@ -82,17 +89,109 @@ def transform(lines: DataFrame) -> DataFrame:
     return out.withColumn("reject_reason", reason).drop("v")
 
 
+def _compact(value: Column, kind: DataType) -> Column | None:
+    """`value` without empty parts, at any depth; null if nothing is left. Numbers and booleans stay."""
+    if isinstance(kind, StringType):
+        return F.nullif(F.trim(value), F.lit(""))
+    if isinstance(kind, ArrayType):
+        left = F.filter(F.transform(value, lambda x: _compact(x, kind.elementType)), lambda x: x.isNotNull())
+        return F.when(F.size(left) > 0, left)
+    if isinstance(kind, MapType):
+        left = F.map_filter(F.transform_values(value, lambda _, x: _compact(x, kind.valueType)), lambda _, x: x.isNotNull())
+        return F.when(F.size(left) > 0, left)
+    if isinstance(kind, StructType):
+        parts = [_compact(value[f.name], f.dataType).alias(f.name) for f in kind.fields]
+        return F.when(F.coalesce(*[p.isNotNull() for p in map(_truth, parts)], F.lit(False)), F.struct(*parts)) if parts else F.lit(None)
+    return value
+
+
+def _truth(part: Column) -> Column:
+    """True for a value, null for none, so that coalesce stops at the first value."""
+    return F.when(part.isNotNull(), F.lit(True))
+
+
 def pruned(df: DataFrame) -> DataFrame:
-    """Public form: strings trimmed, empty strings and arrays null (so the JSON writer omits them),
-    working columns that start with _ dropped. Zero and false stay."""
-    def clean(name, kind):
-        if kind == "string":
-            return F.nullif(F.trim(name), F.lit("")).alias(name)
-        if kind.startswith("array"):
-            return F.when(F.size(name) > 0, F.col(name)).alias(name)
-        return F.col(name)
+    """Public form: strings trimmed; empty strings, arrays, maps and structs null at any depth, so the
+    JSON writer omits them; working columns that start with _ dropped. Zero and false stay."""
+    return df.select(*[_compact(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema.fields if not f.name.startswith("_")])
+
+
+def batch_stats(records: DataFrame, key: str = "dedup_method") -> DataFrame:
+    """(file, what, n): per file the rows read, accepted and rejected, accepted ones by type and by
+    dedup method, and rejected ones by reason. Labels are counted, so rows are combined before they move."""
+    ok = F.col("reject_reason").isNull()
+    labels = F.array_compact(F.array(
+        F.lit("input"), F.when(ok, "accepted").otherwise("rejected"), F.when(ok, F.concat(F.lit("type:"), "content_type")),
+        F.when(ok, F.concat(F.lit("dedup:"), key)), F.when(~ok, F.concat(F.lit("reject:"), "reject_reason")),
+    ))
+    return records.select("file", F.explode(labels).alias("what")).groupBy("file", "what").agg(F.count("*").alias("n"))
+
+
+def discover(spark: SparkSession, folder: str) -> list[str]:
+    """The input files of a folder by name: cleaned_batch*.jsonl if there are any, else all *.jsonl."""
+    jvm = spark._jvm
+    for pattern in ("cleaned_batch*.jsonl", "*.jsonl"):
+        path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{pattern}")
+        found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+        if found:
+            return sorted(f.getPath().toString() for f in found)
+    return []
+
+
+def without_indexed(files: list[str], indexed: list[str], fresh: bool = False) -> list[str]:
+    """Files that have no index yet, by their names without folder and ending; all of them when fresh."""
+    stem = lambda f: f.rsplit("/", 1)[-1].rsplit(".", 1)[0]
+    done = set() if fresh else {stem(f) for f in indexed}
+    return [f for f in files if stem(f) not in done]
+
+
+#: Paragraph record; source and context are JSON or literals of dicts.
+PARAGRAPH = "doc_id string, source_type string, title string, published_at string, text string, source string, context string"
+
+
+def parsed_paragraphs(lines: DataFrame) -> DataFrame:
+    """Paragraphs of lines (file, line_no, raw); lines that are no JSON object are skipped."""
+    read = lines.select("file", "line_no", F.try_parse_json("raw").alias("v"), F.from_json("raw", PARAGRAPH).alias("r"))
+    return read.filter(F.schema_of_variant("v").startswith("OBJECT")).select("file", "line_no", "r.*")
+
+
+def paragraph_index(paragraphs: DataFrame) -> DataFrame:
+    """One row for each (file, doc_id): type, title, date, codes and source of its first line, how many
+    paragraphs and characters it has, and the numbers of its lines in order."""
+    codes = F.from_json(T.literal_dict("context")["related_codes"], "array<string>")
+    codes = F.array_distinct(F.transform(F.coalesce(codes, F.array().cast("array<string>")), lambda c: T.related_code(c)))
+    rows = paragraphs.select(
+        "file", F.col("line_no").cast("long").alias("line_no"), T.blank("doc_id").alias("doc_id"), F.length(T.blank("text")).alias("chars"),
+        F.struct(T.blank("source_type").alias("source_type"), F.substring(T.blank("title"), 1, vocab.TITLE_CHARS).alias("title"), T.blank("published_at").alias("published_at"),
+                 F.array_join(codes, ",").alias("symbols"), T.blank(T.literal_dict("source")["name"]).alias("source_name")).alias("head"),
+    )
+    docs = rows.groupBy("file", "doc_id").agg(
+        F.min_by("head", "line_no").alias("head"), F.count("*").alias("n_paragraphs"), F.sum("chars").alias("text_len"), F.array_join(F.array_sort(F.collect_list("line_no")), ",").alias("lines")
+    )
+    return docs.select("file", "doc_id", "head.*", T.norm_date("head.published_at").alias("pub_date"), "n_paragraphs", "text_len", "lines")
+
+
+def index_summary(v1: DataFrame, v2: DataFrame) -> DataFrame:
+    """One row: v1 rows, v2 paragraphs and documents, and files of both indexes."""
+    v = v1.select("file", F.lit(1).cast("long").alias("v1_rows"), F.lit(0).cast("long").alias("v2_paragraphs"), F.lit(0).cast("long").alias("v2_docs"))
+    v = v.unionByName(v2.select("file", F.lit(0).cast("long").alias("v1_rows"), F.col("n_paragraphs").alias("v2_paragraphs"), F.lit(1).cast("long").alias("v2_docs")))
+    return v.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("v1_rows", "v2_paragraphs", "v2_docs")], F.countDistinct("file").alias("files_ok"))
+
+
+# The forms that an export window takes, by mode.
+MATERIAL_FORMS = ("8-K", "10-Q", "10-K", "6-K", "20-F", "425")
+NOTICE_MODES = {"none": (), "all": None, "8k": ("8-K",), "material": MATERIAL_FORMS}
+
 
-    return df.select(*[clean(n, k) for n, k in df.dtypes if not n.startswith("_")])
+def export_window(index: DataFrame, start: str, end: str | None = None, notices: str | None = None) -> DataFrame:
+    """Index rows with start <= pub_date < end. With a mode of `notices` (none, 8k, material, all) the
+    index is of documents: reports and calls, and the filings of the mode, told by their titles."""
+    kept = index.filter((F.col("pub_date") >= start) & (F.col("pub_date") < end if end else F.lit(True)))
+    if notices is None:
+        return kept
+    forms = NOTICE_MODES[notices]
+    named = F.lit(True) if forms is None else F.coalesce(*[F.when(F.col("title").contains(f"Form {f}"), F.lit(True)) for f in forms], F.lit(False))
+    return kept.filter(F.col("source_type").isin("report", "teleconference") | ((F.col("source_type") == "notice") & named))
 
 
 def index_rows(records: DataFrame) -> DataFrame:
@@ -100,7 +199,7 @@ def index_rows(records: DataFrame) -> DataFrame:
     syms = F.transform("entities.stocks", lambda s: s["symbol"])
     return records.select(
         "id", "content_type", T.norm_date("published_at").alias("pub_date"), "published_at", F.col("source.name").alias("source_name"), "importance",
-        F.substring("title", 1, 400).alias("title"), F.array_join(syms, ",").alias("symbols"), F.size(syms).alias("n_symbols"),
+        F.substring("title", 1, vocab.TITLE_CHARS).alias("title"), F.array_join(syms, ",").alias("symbols"), F.size(syms).alias("n_symbols"),
         (F.size("entities.crypto") > 0).alias("has_crypto"), F.array_join("tags", ",").alias("tags"), F.array_join("regions", ",").alias("regions"),
         F.length("body").alias("body_len"), F.regexp_extract(T.blank("dedup.key"), "^notice:(.+)$", 1).alias("accession"),
     )

@@ -11,6 +11,31 @@ def write_parts(df: DataFrame, path: str, order: list, part_size: int = 200_000)
     df.orderBy(*order).write.mode("overwrite").option("maxRecordsPerFile", part_size).option("ignoreNullFields", True).json(path)
 
 
+def replace_folder(spark: SparkSession, made: str, path: str) -> None:
+    """Put the finished folder `made` in the place of `path`: what was there moves aside first and is
+    deleted last, and moves back if the exchange fails, so `path` never holds half an output."""
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    fs = at(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    aside = f"{path}.bak"
+    fs.delete(at(aside), True)
+    if fs.exists(at(path)) and not fs.rename(at(path), at(aside)):
+        raise OSError(f"cannot move {path} aside")
+    if not fs.rename(at(made), at(path)):
+        fs.rename(at(aside), at(path))
+        raise OSError(f"cannot put {made} in the place of {path}")
+    fs.delete(at(aside), True)
+
+
+def export(spark: SparkSession, folder: str, cleaned: DataFrame, duplicates: DataFrame | None = None, rejects: DataFrame | None = None, part_size: int = 200_000) -> None:
+    """Cleaned records as JSON lines in <folder>/cleaned and, where given, duplicates and rejects beside
+    them. Each is written whole under another name and then takes the place of the earlier one."""
+    for name, df in (("cleaned", cleaned), ("duplicates", duplicates), ("rejects", rejects)):
+        if df is not None:
+            order = [c for c in ("published_at", "id", "batch", "line_no") if c in df.columns]
+            write_parts(df, f"{folder}/.{name}.tmp", order, part_size)
+            replace_folder(spark, f"{folder}/.{name}.tmp", f"{folder}/{name}")
+
+
 def write_by_kind(df: DataFrame, path: str, kind: str, raw: str) -> None:
     """Lines as they are, in one folder for each kind; unknown kinds in _unknown."""
     named = df.select(F.coalesce(F.nullif(F.col(kind), F.lit("")), F.lit("_unknown")).alias("kind"), F.col(raw).alias("value"))

@@ -71,7 +71,7 @@ def test_components(spark):
 
 
 def test_base_session_and_cap(spark):
-    panel = spark.createDataFrame([("S", f"2025-01-0{i}", float(i)) for i in range(1, 6)], "symbol string, date string, close double")
+    panel = spark.createDataFrame([("S", f"2025-01-0{i}", 1.0, float(i)) for i in range(1, 6)], "symbol string, date string, open double, close double")
     ev = spark.createDataFrame([(1, "S", "2025-01-03", "pre_market"), (2, "S", "2025-01-03", "after"), (3, "S", "2025-01-01", "pre_market")], "event_id long, symbol string, event_date string, bucket string")
     assert {r["event_id"]: r["date"] for r in market.base_sessions(ev, panel).collect()} == {1: "2025-01-02", 2: "2025-01-03"}
     rows = spark.createDataFrame([(1, 3, 1.0, ["A"]), (2, 4, 1.0, ["A"]), (3, 3, 1.0, [])], "event_id long, significance int, score double, primary_symbols array<string>")
