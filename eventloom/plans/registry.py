@@ -657,9 +657,11 @@ def c11_structure_inputs(spark, d):
     return out.select("event_id", "n_members", F.array_join("source_ids", ",").alias("ids"), "articles")
 
 
-@_query(f"""WITH {LABELS} SELECT event_id, symbol FROM ev WHERE event_id IN (SELECT event_id FROM labels) AND NOT EXISTS (SELECT 1 FROM labels x WHERE x.event_id = ev.event_id AND x.symbol = ev.symbol)""")
+@_query(f"""WITH {LABELS} SELECT event_id, symbol FROM (SELECT event_id, symbol FROM ev UNION SELECT event_id, 'ZZ' FROM ev WHERE event_id % 2 = 0) e
+WHERE event_id IN (SELECT event_id FROM labels) AND NOT EXISTS (SELECT 1 FROM labels x WHERE x.event_id = e.event_id AND x.symbol = e.symbol)""")
 def c15_unpriced(spark, d):
     ev, panel = _priced_events(spark, d), settle(_panel(spark, d), "panel")
+    ev = ev.union(ev.filter("event_id % 2 = 0").withColumn("symbol", F.lit("ZZ")).distinct())
     return market.unpriced(ev, market.labels(ev, panel))
 
 
