@@ -69,14 +69,19 @@ def decontaminate(
     rarest = F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "tok", "off")).alias("r")
     probes = tokens.join(frequency, "tok", "left").groupBy("win").agg(rarest)
     probes = probes.filter("r.df > 0").join(windows, "win").select("win", "items", F.size("win").alias("len"), "r.tok", "r.off")
-    # An empty word ends every text and meets one empty window, so each text keeps a row.
-    ends = docs.sparkSession.range(1).select(
+    # A marker ends every text and meets one empty window, so each text keeps a row. There are as many
+    # markers as partitions of a shuffle, four times over, taken in turn by row, so none is a hot key.
+    # No word starts with a control character.
+    marks = 1 if small else 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    mark = lambda number: F.concat(F.lit("\x01"), number.cast("string"))
+    ends = docs.sparkSession.range(marks).select(
         F.array().cast("array<string>").alias("win"), F.array().cast("array<string>").alias("items"),
-        F.lit(0).alias("len"), F.lit("").alias("tok"), F.lit(0).alias("off"),
+        F.lit(0).alias("len"), mark(F.col("id")).alias("tok"), F.lit(0).alias("off"),
     )
     probes = settle(probes.unionByName(ends), "probes")
 
-    at = keyed.select("doc_id", "k", "w", F.size("w").alias("n"), F.posexplode_outer(F.array_append("w", F.lit(""))).alias("p", "tok"))
+    turn = F.lit(0) if small else F.monotonically_increasing_id() % marks
+    at = keyed.withColumn("mark", mark(turn)).select("doc_id", "k", "w", F.size("w").alias("n"), F.posexplode_outer(F.array_append("w", F.col("mark"))).alias("p", "tok"))
     if not small:  # rows are shuffled: carry the neighbourhood of the word, not the text
         lo = F.greatest(F.col("p") - (width - 1), F.lit(0))
         at = at.select("doc_id", "k", "n", "p", "tok", F.slice("w", lo + 1, 2 * width - 1).alias("w"), lo.alias("lo"))
