@@ -12,8 +12,9 @@ HORIZONS = {"1d": 0, "5d": 4, "20d": 19}
 
 
 def merge_panels(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Panels joined, the old row kept where both have a (symbol, date)."""
-    return old.unionByName(new.join(old.select("symbol", "date"), ["symbol", "date"], "left_anti").dropDuplicates(["symbol", "date"]))
+    """Panels joined, the old row kept where both have a (symbol, date); of new rows that repeat one, the least."""
+    least = new.groupBy("symbol", "date").agg(F.min(F.struct(*[c for c in new.columns if c not in ("symbol", "date")])).alias("r")).select("symbol", "date", "r.*")
+    return old.unionByName(least.join(old.select("symbol", "date"), ["symbol", "date"], "left_anti"))
 
 
 def missing_symbols(wanted: DataFrame, panel: DataFrame) -> DataFrame:
