@@ -82,7 +82,8 @@ def similar_pairs(rows: DataFrame, ratio: float | None = RATIO, jaccard: float =
     )
     if rare is not None:
         cond = cond & F.arrays_overlap("x.rare", "y.rare")
-    pairs = x.join(y, cond).filter(T.token_jaccard("x.toks", "y.toks") >= jaccard)
+    shared = F.size(F.array_intersect("x.toks", "y.toks"))  # tokens are distinct, so the union follows
+    pairs = x.join(y, cond).withColumn("shared", shared).filter(F.try_divide("shared", F.col("x.n") + F.col("y.n") - F.col("shared")) >= jaccard)
     pairs = pairs.select("x.bucket", F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.col("x.title").alias("ta"), F.col("y.title").alias("tb"))
     return pairs.filter(T.token_set_ratio("ta", "tb") >= ratio).drop("ta", "tb") if ratio is not None else pairs.drop("ta", "tb")
 
