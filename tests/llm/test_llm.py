@@ -407,3 +407,17 @@ def test_records_that_cannot_be_read_back_fail_the_job(spark, tmp_path):
     (tmp_path / "x.warc.gz").write_bytes(b"".join(raws))
     with pytest.raises(ValueError):
         warc.complete(warc.read_archives(files), 3)
+
+
+def test_decontamination_edges_on_both_plans(spark, monkeypatch):
+    """Null, empty, repeated and wordless rows, few-word items and empty tables, with windows broadcast and shuffled."""
+    docs = spark.createDataFrame([(None, None, 1), (None, "", 1), (1, "A b", 1), (1, "A b", 1), (1, "\x01 c", 1), (2, "x a b y a b", 1)], "doc_id long, text string, k int")
+    items = spark.createDataFrame([("i", "a B"), ("j", "b"), ("n", None), (None, "x"), ("e", "..")], "item_id string, text string")
+    got = []
+    for most in (decontamination.BROADCAST_WINDOWS, 0):
+        monkeypatch.setattr(decontamination, "BROADCAST_WINDOWS", most)
+        out = decontamination.decontaminate(docs, items).select("doc_id", "n_words", "n_hit", "n_items", "contaminated")
+        got.append(sorted((tuple(r) for r in out.collect()), key=str))
+        assert decontamination.decontaminate(docs, items.limit(0)).count() == 6 and decontamination.decontaminate(docs.limit(0), items).count() == 0
+    want = [(None, 0, 0, 0, False)] * 2 + [(1, 2, 2, 2, True)] * 2 + [(1, 1, 0, 0, False), (2, 6, 5, 2, True)]
+    assert got == [sorted(want, key=str)] * 2
