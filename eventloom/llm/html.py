@@ -139,19 +139,20 @@ def _slot(word: str, slots: int) -> int:
 
 
 def vectors(blocks) -> np.ndarray:
-    """One row for each block: words of the nearest elements, of the whole path, of the text, sizes."""
+    """One row for each block: words of the nearest elements, of the whole path, of the whole text (each adds
+    the less the more there are), sizes."""
     out = np.zeros((len(blocks), WIDTH), np.float32)
     for i, ((slots, near), text, linked) in enumerate(blocks):
         out[i, list(slots)] = 1
         for w in (w for group in near for w in group):
             out[i, PATH_SLOTS + _slot(w, PATH_SLOTS)] = 1
         words = text.split()
-        for w in words[:4] + words[-4:]:
-            out[i, 2 * PATH_SLOTS + _slot(w.lower(), WORD_SLOTS)] += 0.1
+        for w in words:
+            out[i, 2 * PATH_SLOTS + _slot(w.lower(), WORD_SLOTS)] += 0.8 / max(8, len(words))
         n = len(text)
         out[i, -SIZES:] = (
             np.log1p(n) / 8, min(1, linked / n), len(words) == 1, text[-1] in ".!?:;\"'”…»", i / len(blocks), 1 / len(blocks),
-            sum(c in ".,;!?" for c in text[:2000]) / min(n, 2000) * 10, text[:1] in "©&·|»›",
+            sum(map(text.count, ".,;!?")) / n * 10, text[:1] in "©&·|»›",
         )
     return out
 

@@ -377,6 +377,14 @@ def test_main_text():
     assert html.main_texts(html.labeller(), [page, None, ""]) == ["Head line One & two words here. More words in the article.", "", ""]
 
 
+def test_blocks_are_judged_by_their_whole_text():
+    """Blocks that are alike in length, in their first 2,000 characters and at both ends differ by their middle."""
+    ends = "one two three four " + "word " * 400, " five six seven eight."
+    for one, other in (("plain " * 100, "pla,n " * 100), ("plain " * 100, "other " * 100)):
+        x, y = (html.vectors([((frozenset(), ()), ends[0] + middle.strip() + ends[1], 0)]) for middle in (one, other))
+        assert (x != y).any()
+
+
 def test_deep_pages_share_their_paths():
     """Blocks at any depth hold one set of slots and two elements, so work grows with the page alone. (By
     time: 2,000 open elements 0.02 s, 32,000 0.36 s; the clock is no test, as collections of garbage differ.)"""
