@@ -9,7 +9,7 @@ import pandas as pd
 import pytest
 
 pytest.importorskip("eventloom.llm")
-from eventloom.llm import decontamination, host_rules, html, jaccard, packing, quality, queries, shingles, substring, tokens, toxicity, warc  # noqa: E402
+from eventloom.llm import common, decontamination, host_rules, html, jaccard, packing, quality, queries, shingles, substring, tokens, toxicity, warc  # noqa: E402
 
 DATA = "/root/testdata/sf0.001"
 EDGES = [(1, None), (2, ""), (3, "a b c d e f g h i j k"), (3, "a b c d e f g h i j k"), (4, "word " * 20000), (None, "x y")]
@@ -204,6 +204,12 @@ def test_passages_whose_seeds_have_other_first_holders(spark, decoys):
     assert [(r["doc_id"], r["start"], r["n_words"], r["source_id"], r["source_start"]) for r in found] == [(200, 30, 50, 100, 20)]
 
 
+def test_workers_give_memory_back_after_a_task(monkeypatch):
+    calls = []
+    monkeypatch.setattr(common, "release", lambda: calls.append(1))
+    assert list(common.returning(lambda batches: (2 * b for b in batches))([1, 2])) == [2, 4] and calls == [1]
+
+
 def test_altered_passages_are_found(spark):
     rng = random.Random(8)
     words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
