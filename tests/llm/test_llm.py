@@ -204,6 +204,20 @@ def test_passages_whose_seeds_have_other_first_holders(spark, decoys):
     assert [(r["doc_id"], r["start"], r["n_words"], r["source_id"], r["source_start"]) for r in found] == [(200, 30, 50, 100, 20)]
 
 
+def test_altered_passages_of_frequent_seeds_are_found(spark):
+    """Decoys before and after the source hold every five words of the passage, so the source is neither the
+    first nor the previous holder of any seed, and no run of 50 words is left as it was."""
+    rng = random.Random(3)
+    words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    passage = words(80)
+    altered = [w if k % 10 != 9 or k > 70 else "other" for k, w in enumerate(passage)]
+    decoy = lambda: " ".join(w for k in rng.sample(range(76), 76) for w in passage[k : k + 5] + words(40))
+    rows = [(i, decoy()) for i in (*range(10), *range(110, 120))]
+    rows += [(100, " ".join(words(20) + passage + words(20))), (200, " ".join(words(30) + altered + words(30)))]
+    found = substring.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [(r["doc_id"], r["start"], r["n_words"], r["source_id"], r["source_start"]) for r in found] == [(200, 30, 80, 100, 20)]
+
+
 def test_workers_give_memory_back_after_a_task(monkeypatch):
     calls = []
     monkeypatch.setattr(common, "release", lambda: calls.append(1))
