@@ -218,6 +218,45 @@ def test_altered_passages_of_frequent_seeds_are_found(spark):
     assert [(r["doc_id"], r["start"], r["n_words"], r["source_id"], r["source_start"]) for r in found] == [(200, 30, 80, 100, 20)]
 
 
+def test_sources_of_one_shared_line_are_not_paired(spark, monkeypatch):
+    """A line before a repeated word, which each text repeats another number of times: what two texts share
+    is one exact segment, so the second round pairs few of them, and passages made of such pieces are found."""
+    rng = random.Random(11)
+    words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    line, other = words(18), words(20)
+    rows = [(i, " ".join(words(30) + line + ["de"] * (6 + i) + words(40))) for i in range(40)]
+    rows += [(100 + i, " ".join(words(30) + ["un"] * (13 + i) + words(40) + other + words(40))) for i in range(20)]
+    rows += [(200, " ".join(words(30) + ["un"] * 30 + other + words(30)))]
+    sizes, real = {}, substring.settle
+
+    def settle(df, label):
+        held = real(df, label)
+        sizes[label] = held.count()
+        return held
+
+    monkeypatch.setattr(substring, "settle", settle)
+    found = substring.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert 0 < sizes["open-sources"] <= 4 * len(rows)
+    assert [(r["doc_id"], r["start"], r["n_words"]) for r in found if r["doc_id"] >= 200] == [(200, 30, 50)]
+
+
+def test_keys_tell_shared_lines_from_other_distances():
+    keys = lambda pos, seed: set(zip(*(x.tolist() for x in substring.keys_of(np.array(pos, np.int32), np.array(seed)))))
+    assert keys([0, 3, 7], [5, 6, 7]) == keys([40, 43, 47], [5, 6, 7])
+    assert not keys([0, 3], [5, 6]) & keys([0, 4], [5, 6]) and not keys([0, 3, 7], [5, 6, 7]) & keys([0, 2, 7], [5, 9, 7])
+    assert {f for _, f in keys([0, 20], [5, 6])} == {0} and not keys([0, 40], [5, 6])
+    assert keys([0, 1, 2, 3], [5, 5, 5, 5]) == keys([9, 10], [5, 5]) != keys([0, 2], [5, 5])
+    assert {k for k, _ in keys([0, 1, 2], [5, 5, 5])} == {k for k, _ in keys([0, 20], [5, 5])}
+
+
+def test_exact_pieces_stay_beside_chains_of_more_words():
+    seg = lambda *rows: np.array([(a, s, n, m, near, 1) for a, s, n, m, near in rows])
+    chained, exact = seg((0, 0, 11, 7, 0), (7, 22, 11, 7, 0)), seg((2, 5, 12, 1, substring.LINE))
+    assert len(substring.worthwhile([(1, chained), (2, exact)], 50)) == 2
+    longer = seg((0, 0, 20, 9, 0))
+    assert [x for x, _ in substring.worthwhile([(2, exact), (3, longer)], 50)] == [3]
+
+
 def test_workers_give_memory_back_after_a_task(monkeypatch):
     calls = []
     monkeypatch.setattr(common, "release", lambda: calls.append(1))
