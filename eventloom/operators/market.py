@@ -75,13 +75,25 @@ def unpriced(events: DataFrame, labelled: DataFrame) -> DataFrame:
 
 
 def price_windows(labelled: DataFrame, panel: DataFrame) -> DataFrame:
-    """(event_id, symbol, model_input, label_audit): bars of the 15 sessions up to the base, which a
-    model may see, and of the 20 after it, which it may not. Prices have four places."""
-    wanted = panel.join(labelled.select("symbol").distinct(), "symbol", "left_semi")
+    """(event_id, symbol, model_input, label_audit, sound): bars of the 15 sessions up to the base, which a
+    model may see, and of the 20 after it, which it may not, and whether they are as a case wants them.
+    Prices have four places. Sessions that no base reaches are left out before bars are listed, and lists
+    are made and tested for bases alone."""
     bar = F.struct("date", *[F.round(c, 4).alias(c) for c in ("open", "high", "low", "close")], F.col("volume").cast("long").alias("volume"))
+    bases = labelled.select("symbol", F.col("base_close_date").alias("date")).distinct()
+    both = panel.withColumn("session", F.lit(1)).unionByName(bases.withColumn("session", F.lit(0)), allowMissingColumns=True).repartition("symbol")
+    marked = both.withColumn("base", (F.min("session").over(Window.partitionBy("symbol", "date")) == 0).cast("int")).filter("session = 1")
     w = Window.partitionBy("symbol").orderBy("date")
-    seen = wanted.select("symbol", "date", F.collect_list(bar).over(w.rowsBetween(1 - BEFORE, 0)).alias("model_input"), F.collect_list(bar).over(w.rowsBetween(1, AFTER)).alias("label_audit"))
-    return labelled.select("event_id", "symbol", F.col("base_close_date").alias("date")).join(seen, ["symbol", "date"]).select("event_id", "symbol", "model_input", "label_audit")
+    near = marked.withColumn("near", F.max("base").over(w.rowsBetween(-AFTER, BEFORE - 1))).filter("near = 1")
+    lists = {"model_input": F.collect_list(bar).over(w.rowsBetween(1 - BEFORE, 0)), "label_audit": F.collect_list(bar).over(w.rowsBetween(1, AFTER))}
+    seen = near.withColumns(lists).filter("base = 1").select("symbol", "date", *lists, sound_bars("model_input", "label_audit").alias("sound"))
+    return labelled.select("event_id", "symbol", F.col("base_close_date").alias("date")).join(seen, ["symbol", "date"]).select("event_id", "symbol", *lists, "sound")
+
+
+def sound_bars(model_input, label_audit) -> Column:
+    """Whether a case may have these bars: one at least to see and AFTER to audit, with days, prices above 0 and volumes."""
+    day = lambda b: T.blank(b["date"]).rlike(T.DAY) & (b["volume"] >= 0) & F.coalesce(F.least(b["open"], b["high"], b["low"], b["close"]) > 0, F.lit(False))
+    return F.coalesce((F.size(model_input) >= 1) & (F.size(label_audit) >= AFTER) & F.forall(model_input, day) & F.forall(label_audit, day), F.lit(False))
 
 
 def intraday_panel(bars: DataFrame) -> DataFrame:
