@@ -41,13 +41,12 @@ def sessions(panel: DataFrame) -> DataFrame:
 
 def base_sessions(events: DataFrame, panel: DataFrame) -> DataFrame:
     """Each (event_id, symbol, event_date, bucket) with its base session: the last one before the date
-    for pre_market, else the last one not after it. The panel is cut to wanted symbols first; events
-    and sessions are put in one order by symbol, and each event takes the last session ahead of it,
-    so the work grows with their sum, not with their product."""
-    s = sessions(panel.join(events.select("symbol").distinct(), "symbol", "left_semi"))
+    for pre_market, else the last one not after it. Events and sessions are put in one order by symbol,
+    and each event takes the last session ahead of it, so the work grows with their sum, not with their
+    product. They move once, as narrow rows: what follows a session is looked up where its symbol is."""
     row = F.struct("date", "close", "k", "n", "first_date", "first_open", *[f"{c}_{h}" for h in HORIZONS for c in ("close", "date")])
-    marks = s.select("symbol", F.col("date").alias("at"), F.lit(1).alias("turn"), row.alias("b"))
-    asks = events.select("symbol", F.col("event_date").alias("at"), F.when(F.col("bucket") == "pre_market", 0).otherwise(2).alias("turn"), F.struct("event_id", "event_date", "bucket").alias("e"))
+    marks = sessions(panel.filter("symbol IS NOT NULL").select("symbol", "date", "open", "close").repartition("symbol")).select("symbol", F.col("date").alias("at"), F.lit(1).alias("turn"), row.alias("b"))
+    asks = events.select("symbol", F.col("event_date").alias("at"), F.when(F.col("bucket") == "pre_market", 0).otherwise(2).alias("turn"), F.struct("event_id", "event_date", "bucket").alias("e")).repartition("symbol")
     w = Window.partitionBy("symbol").orderBy("at", "turn").rowsBetween(Window.unboundedPreceding, 0)
     both = marks.unionByName(asks, allowMissingColumns=True).withColumn("b", F.last("b", True).over(w))
     found = both.filter("e IS NOT NULL AND b IS NOT NULL")

@@ -27,5 +27,13 @@ def test_windows_are_listed_for_bases_alone(spark):
     for e, base in ((1, "2025-02-15"), (2, "2025-02-20"), (3, "2025-02-15"), (4, "2025-01-03")):
         k = days.index(base)
         assert got[e] == (days[max(k - 14, 0) : k + 1], days[k + 1 : k + 21])
-    below = plan(w).split("collect_list")[-1].split("\n")[1]  # what the lists are made of
+    below = "".join(plan(w).split("collect_list")[-1].split("\n")[1:3])  # what the lists are made of
     assert "Filter" in below and "near" in below
+
+
+def test_base_sessions_move_once(spark):
+    ev = spark.createDataFrame([(1, "A", "2025-02-15", "after"), (2, "A", "2025-02-15", "pre_market"), (3, "B", "2024-01-01", "after"), (4, "Z", "2025-02-15", "after"), (5, None, "2025-02-15", "after")], "event_id long, symbol string, event_date string, bucket string")
+    found = market.base_sessions(ev, bars(spark, 120, ("A", "B")).localCheckpoint())
+    assert {r["event_id"]: (r["date"], r["first_date"], r["date_5d"]) for r in found.collect()} == {1: ("2025-02-15", "2025-02-16", "2025-02-20"), 2: ("2025-02-14", "2025-02-15", "2025-02-19")}
+    assert found._jdf.queryExecution().sparkPlan().toString().count("RepartitionByExpression") == 0
+    assert found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("Exchange hashpartitioning") == 2
