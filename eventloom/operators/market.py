@@ -68,9 +68,12 @@ def labels(events: DataFrame, panel: DataFrame) -> DataFrame:
 
 
 def unpriced(events: DataFrame, labelled: DataFrame) -> DataFrame:
-    """(event_id, symbol) of labelled events whose symbol has no label of its own."""
-    known = labelled.select("event_id", "symbol")
-    return events.select("event_id", "symbol").distinct().join(known.select("event_id").distinct(), "event_id", "left_semi").join(known, ["event_id", "symbol"], "left_anti")
+    """(event_id, symbol) of labelled events whose symbol has no label of its own. Both are brought together
+    by event once, so labels are worked out once."""
+    rows = lambda df, label: df.select("event_id", "symbol", F.lit(label).alias("label"))
+    both = rows(events, 0).union(rows(labelled, 1)).filter("event_id IS NOT NULL").repartition("event_id")
+    each = both.groupBy("event_id", "symbol").agg(F.max("label").alias("label"))
+    return each.withColumn("any", F.max("label").over(Window.partitionBy("event_id"))).filter("any = 1 AND label = 0").select("event_id", "symbol")
 
 
 def price_windows(labelled: DataFrame, panel: DataFrame) -> DataFrame:

@@ -37,3 +37,11 @@ def test_base_sessions_move_once(spark):
     assert {r["event_id"]: (r["date"], r["first_date"], r["date_5d"]) for r in found.collect()} == {1: ("2025-02-15", "2025-02-16", "2025-02-20"), 2: ("2025-02-14", "2025-02-15", "2025-02-19")}
     assert found._jdf.queryExecution().sparkPlan().toString().count("RepartitionByExpression") == 0
     assert found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("Exchange hashpartitioning") == 2
+
+
+def test_labels_are_worked_out_once_for_unpriced(spark):
+    q = registry.queries()["c15_unpriced"](spark, DATA)
+    assert plan(q).count("last(") == 1  # the as-of step of labels
+    known = spark.createDataFrame([(1, "A"), (2, "B"), (None, "A")], "event_id long, symbol string")
+    ev = spark.createDataFrame([(1, "A"), (1, "C"), (1, "C"), (1, None), (3, "A"), (None, "X")], "event_id long, symbol string")
+    assert {(r["event_id"], r["symbol"]) for r in market.unpriced(ev, known).collect()} == {(1, "C"), (1, None)}
