@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from eventloom.operators import market
+from eventloom.operators import assembly, market
 from eventloom.plans import registry
 
 DATA = "/root/testdata/sf0.001"
@@ -45,3 +45,19 @@ def test_labels_are_worked_out_once_for_unpriced(spark):
     known = spark.createDataFrame([(1, "A"), (2, "B"), (None, "A")], "event_id long, symbol string")
     ev = spark.createDataFrame([(1, "A"), (1, "C"), (1, "C"), (1, None), (3, "A"), (None, "X")], "event_id long, symbol string")
     assert {(r["event_id"], r["symbol"]) for r in market.unpriced(ev, known).collect()} == {(1, "C"), (1, None)}
+
+
+@pytest.mark.parametrize("name", ["c18_cases"])
+def test_cases_move_no_bars_that_nobody_reads(spark, name):
+    assert "model_input_ohlcv" not in plan(registry.queries()[name](spark, DATA))
+
+
+def test_cases_tell_unsound_bars(spark):
+    one = lambda close, n=20: f"transform(sequence(1, {n}), i -> named_struct('date', '2025-01-01', 'open', 1.0D, 'high', 1.0D, 'low', 1.0D, 'close', {close}, 'volume', 1L))"
+    rows = [f"SELECT {e} AS event_id, '{s}' AS symbol, {one('1.0D', 15)} AS model_input, {one(*audit)} AS label_audit" for e, s, audit in (
+        (1, "A", ("1.0D",)), (1, "B", ("1.0D",)), (1, "C", ("1.0D",)), (2, "A", ("1.0D",)), (2, "B", ("1.0D",)), (3, "A", ("1.0D",)), (3, "B", ("0.0D",)), (3, "C", ("1.0D",)),
+        (4, "A", ("1.0D",)), (4, "B", ("1.0D",)), (4, "c", ("1.0D",)), (5, "A", ("1.0D", 19)), (5, "B", ("1.0D",)), (5, "C", ("1.0D",)), (6, "A", ("CAST(NULL AS DOUBLE)",)), (6, "B", ("1.0D",)), (6, "C", ("1.0D",)),
+    )]
+    got = assembly.priced_bars(spark.sql(" UNION ALL ".join(rows)))
+    assert {r["event_id"]: r["priced"] for r in got.collect()} == {1: True, 2: False, 3: False, 4: False, 5: False, 6: True}
+    assert len(got.filter("event_id = 1").first()["bars"]["A"]["label_audit_ohlcv_adjusted_daily"]) == 20
