@@ -47,7 +47,7 @@ def test_labels_are_worked_out_once_for_unpriced(spark):
     assert {(r["event_id"], r["symbol"]) for r in market.unpriced(ev, known).collect()} == {(1, "C"), (1, None)}
 
 
-@pytest.mark.parametrize("name", ["c18_cases"])
+@pytest.mark.parametrize("name", ["c18_cases", "c18_summary"])
 def test_cases_move_no_bars_that_nobody_reads(spark, name):
     assert "model_input_ohlcv" not in plan(registry.queries()[name](spark, DATA))
 
