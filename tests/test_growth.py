@@ -1,9 +1,10 @@
 """Steps that must not move more rows, or do more work, than their input grows by."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from eventloom.operators import assembly, market
+from eventloom.operators import assembly, cluster, market
 from eventloom.plans import registry
 
 DATA = "/root/testdata/sf0.001"
@@ -61,3 +62,15 @@ def test_cases_tell_unsound_bars(spark):
     got = assembly.priced_bars(spark.sql(" UNION ALL ".join(rows)))
     assert {r["event_id"]: r["priced"] for r in got.collect()} == {1: True, 2: False, 3: False, 4: False, 5: False, 6: True}
     assert len(got.filter("event_id = 1").first()["bars"]["A"]["label_audit_ohlcv_adjusted_daily"]) == 20
+
+
+def test_shared_tokens_are_counted_by_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    sets = [sorted(set(rng.integers(0, 60, rng.integers(0, 30)).tolist())) for _ in range(40)]
+    codes, row = np.array([t for s in sets for t in s]), np.array([i for i, s in enumerate(sets) for _ in s])
+    want = [[len(set(a) & set(b)) for b in sets[15:]] for a in sets]
+    for columns in (4096, 7):
+        monkeypatch.setattr(cluster, "COLUMNS", columns)
+        got = cluster.shared_counts(codes, row, 40, 15, 60)
+        assert all(got[i, j] == want[i][j] for i in range(40) for j in range(25) if i != j + 15)
+    assert "array_intersect" not in plan(registry.queries()["j08_band_pairs"](spark, DATA))  # no pair is a row before it is compared
