@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventloom.operators import assembly, cluster, market
+from eventloom.operators.graph import components
 from eventloom.plans import registry
 
 DATA = "/root/testdata/sf0.001"
@@ -74,3 +75,16 @@ def test_shared_tokens_are_counted_by_blocks(spark, monkeypatch):
         got = cluster.shared_counts(codes, row, 40, 15, 60)
         assert all(got[i, j] == want[i][j] for i in range(40) for j in range(25) if i != j + 15)
     assert "array_intersect" not in plan(registry.queries()["j08_band_pairs"](spark, DATA))  # no pair is a row before it is compared
+
+
+def test_edges_are_worked_out_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    edges = spark.createDataFrame([(1, 2), (2, 3), (5, 4)], "a long, b long").mapInArrow(count, "a long, b long")
+    assert {r["node"]: r["comp"] for r in components(edges).collect()} == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4}
+    assert seen.value == 3
