@@ -88,3 +88,16 @@ def test_edges_are_worked_out_once(spark):
     edges = spark.createDataFrame([(1, 2), (2, 3), (5, 4)], "a long, b long").mapInArrow(count, "a long, b long")
     assert {r["node"]: r["comp"] for r in components(edges).collect()} == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4}
     assert seen.value == 3
+
+
+def test_reactions_by_blocks_of_days(spark):
+    symbols = spark.createDataFrame([(1, "A"), (1, "B"), (2, "A"), (3, "A"), (4, "A")], "event_id long, sym string")
+    stats = spark.createDataFrame([(1, 2, "2025-01-10"), (2, 5, "1969-12-28"), (3, 1, "2025-01-10"), (4, 2, None)], "event_id long, n_articles long, peak_date string")
+    docs = [("A", 10, "2025-01-08"), ("A", 11, "2025-01-09"), ("A", 12, "2025-01-17"), ("A", 13, "2025-01-18"), ("B", 12, "2025-01-11"), ("B", 14, "2025-01-12"), ("C", 15, "2025-01-10"), ("A", 16, "1969-12-27"), ("A", 17, "1970-01-04"), ("A", 18, "1970-01-05")]
+    hits = cluster.corroboration(symbols, stats, spark.createDataFrame(docs, "sym string, doc_id long, d string"))
+    assert {r["event_id"]: r["n_v2_reactions"] for r in hits.collect()} == {1: 3, 2: 2}
+    assert "date_sub" not in plan(hits) and "block" in plan(hits)  # no row for each day of a window
+
+
+def test_stats_are_worked_out_once(spark):
+    assert plan(registry.queries()["c10_scored_candidates"](spark, DATA)).count("mode(") == 0  # they are a table by then
