@@ -1,5 +1,6 @@
 """Steps that must not move more rows, or do more work, than their input grows by."""
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -101,3 +102,14 @@ def test_reactions_by_blocks_of_days(spark):
 
 def test_stats_are_worked_out_once(spark):
     assert plan(registry.queries()["c10_scored_candidates"](spark, DATA)).count("mode(") == 0  # they are a table by then
+
+
+def test_blank_and_missing_texts_as_in_sql(spark, tmp_path):
+    con = duckdb.connect()
+    rows = "(1, 'A  b'), (2, 'a b'), (3, ''), (4, '  '), (5, NULL), (6, NULL), (7, 'x')"
+    con.execute(f"COPY (SELECT CAST(i AS BIGINT) AS doc_id, t AS text, 'en' AS lang, 's' AS source, CAST(length(t) AS BIGINT) AS n_chars FROM (VALUES {rows}) v(i, t)) TO '{tmp_path}/documents.parquet' (FORMAT parquet)")
+    con.execute(f"CREATE VIEW documents AS FROM '{tmp_path}/documents.parquet'")
+    for name in ("n02_content_winners", "u01_duplicates", "a04_summary"):
+        want = con.execute(registry.oracle_sql()[name])
+        columns = [c[0] for c in want.description]
+        assert {tuple(r) for r in registry.queries()[name](spark, str(tmp_path)).select(columns).collect()} == set(want.fetchall()), name
