@@ -5,9 +5,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from eventloom.operators import assembly, cluster, market
+from eventloom.operators import assembly, cluster, dedup, market
 from eventloom.operators.graph import components
 from eventloom.plans import registry
+from eventloom.session import settle
 
 DATA = "/root/testdata/sf0.001"
 
@@ -113,3 +114,15 @@ def test_blank_and_missing_texts_as_in_sql(spark, tmp_path):
         want = con.execute(registry.oracle_sql()[name])
         columns = [c[0] for c in want.description]
         assert {tuple(r) for r in registry.queries()[name](spark, str(tmp_path)).select(columns).collect()} == set(want.fetchall()), name
+
+
+def test_signatures_are_worked_out_once(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(dedup, "settle", lambda df, label: made.append((label, plan(df))) or settle(df, label))
+    text = " ".join(f"word{i}" for i in range(60))
+    rows = [("a", "k1", text), ("b", "k2", text + " more"), ("c", "k3", "other " * 60)]
+    df = spark.createDataFrame(rows, "id string, dedup_key string, body string").withColumns({c: F.lit("x") for c in ("title", "host", "batch")} | {"published_at": F.lit("2025-01-01T00:00:00Z"), "content_type": F.lit("US_NEWS"), "body_len": F.length("body"), "line_no": F.lit(1)})
+    _, losers = dedup.near(df)
+    assert [(r["loser"], r["canonical_id"]) for r in losers.collect()] == [("a", "b")]
+    assert [name for name, _ in made] == ["signatures", "decided"] and ["signature(" in p for _, p in made] == [True, False]
+    assert "token_set_ratio" not in plan(losers)
